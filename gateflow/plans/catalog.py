@@ -22,7 +22,7 @@ from ..sinks.files import write_by_day
 from ..sinks.upsert import read_table, upsert
 from ..sources.daily_files import read_clean_layer
 from ..sources.fixture import FIXTURE_PERIOD, raw_swipes_from_dir
-from ..sources.lines import parse_lax, parse_strict, to_line
+from ..sources.lines import lax_records, parse_lax, parse_strict, strict_records, to_line
 from ..sources.streams import events_line_stream
 from ..streaming import minute_flow as stream
 
@@ -48,11 +48,11 @@ def _lines(spark, sf_dir) -> DataFrame:
 
 
 def _strict_valid(spark, sf_dir) -> DataFrame:
-    return parse_strict(_lines(spark, sf_dir)).filter("is_valid")
+    return strict_records(_lines(spark, sf_dir))
 
 
 def _lax_valid(spark, sf_dir) -> DataFrame:
-    return parse_lax(_lines(spark, sf_dir)).filter("is_valid")
+    return lax_records(_lines(spark, sf_dir))
 
 
 def _minute_text(df: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ st as (select value as raw, trim(f[1]) as time, trim(f[2]) as lineID,
               try_cast(trim(f[3]) as integer) as stationID, try_cast(trim(f[4]) as integer) as deviceID,
               try_cast(trim(f[5]) as integer) as status, trim(f[6]) as userID,
               try_cast(trim(f[7]) as integer) as payType,
-              try_strptime(trim(f[1]), '%Y-%m-%d %H:%M:%S') as ts, len(f) as n
+              try_cast(trim(f[1]) as timestamp) as ts, len(f) as n
        from sp),
 strict as (select *, case when raw is null then 'null_message'
                           when n <> 7 then 'field_count'

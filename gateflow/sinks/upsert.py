@@ -60,28 +60,41 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
     spark = updates.sparkSession
     cols = list(updates.columns)
     upd = updates.withColumn(VERSION_COL, F.lit(version).cast("bigint"))
-    staging = _staging_path(spark, target, version)
 
+    if not _fs_exists(spark, target):
+        # First load: nothing to merge with.  The commit protocol makes the
+        # write all-or-nothing; a replay after it finds the table and merges
+        # the same rows again, which changes nothing.
+        _write(latest_per_key(upd, keys).select(*cols, VERSION_COL), target, partition_by, fmt)
+        return
+
+    staging = _staging_path(spark, target, version)
     if not _fs_exists(spark, staging, "_SUCCESS"):
-        if _fs_exists(spark, target):
-            existing = spark.read.format(fmt).load(target)
-            if partition_by:
-                touched = upd.select(*partition_by).distinct()
-                existing = existing.join(touched, list(partition_by), "left_semi")
-            both = existing.select(*cols, VERSION_COL).unionByName(upd.select(*cols, VERSION_COL))
-        else:
-            both = upd.select(*cols, VERSION_COL)
-        merged = latest_per_key(both, keys).select(*cols, VERSION_COL)
-        writer = merged.write.mode("overwrite").format(fmt)
+        existing = spark.read.format(fmt).load(target)
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").save(staging)
+            touched = upd.select(*partition_by).distinct()
+            existing = existing.join(touched, list(partition_by), "left_semi")
+        both = existing.select(*cols, VERSION_COL).unionByName(upd.select(*cols, VERSION_COL))
+        merged = latest_per_key(both, keys).select(*cols, VERSION_COL)
+        _write(merged, staging, partition_by, fmt, success_marker=True, dynamic=False)
 
     staged = spark.read.format(fmt).load(staging).select(*cols, VERSION_COL)
-    writer = staged.write.mode("overwrite").format(fmt)
+    _write(staged, target, partition_by, fmt)
+
+
+def _write(df: DataFrame, path: str, partition_by, fmt: str,
+           success_marker: bool = False, dynamic: bool = True) -> None:
+    if partition_by:
+        # One file per partition value unless AQE finds it too large.
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").format(fmt)
+    if success_marker:
+        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.save(target)
+        if dynamic:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
 
 
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet",
@@ -97,8 +110,13 @@ def upsert_batch_writer(target: str, keys: Sequence[str], partition_by: Sequence
     empty batch is skipped with a cheap emptiness probe."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        upsert(batch_df, target, keys, batch_id, partition_by, fmt)
+        # Persist before the first action, so the (stateful) batch plan
+        # runs once for the probe and the merge together.
+        batch_df.persist()
+        try:
+            if not batch_df.isEmpty():
+                upsert(batch_df, target, keys, batch_id, partition_by, fmt)
+        finally:
+            batch_df.unpersist()
 
     return write

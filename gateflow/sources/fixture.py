@@ -20,7 +20,18 @@ FIXTURE_PERIOD = Period(month="2024-01", first_day=1, last_day=25)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a scan yields fewer splits than the cluster has
+    cores (a small single-row-group file is one task).  A large input has
+    far more splits than cores and is returned untouched, so no extra
+    shuffle is ever added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def _base(events: DataFrame, faults: bool) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
 from ..sinks.upsert import read_table, upsert_batch_writer
-from ..sources.lines import parse_strict
+from ..sources.lines import strict_records, strict_rejects
 
 # --- fixed values: stream settings of the studied consumer ------------------
 WATERMARK_DELAY = "1 minute"
@@ -49,13 +49,12 @@ def configure_state(spark: SparkSession, rocksdb: bool = False) -> None:
 
 def parsed_records(lines: DataFrame) -> DataFrame:
     """valid strictly parsed rows."""
-    return parse_strict(lines).filter("is_valid")
+    return strict_records(lines)
 
 
 def rejected_records(lines: DataFrame) -> DataFrame:
     """Messages that fail the strict parse, with the reason."""
-    return (parse_strict(lines).filter(~F.col("is_valid"))
-            .select("raw", "reject_reason"))
+    return strict_rejects(lines)
 
 
 def windowed_minute_flow(records: DataFrame, keys: Sequence[str] = LINE_KEYS,
