@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ts_text
 from ..operators import flows, minute, quality, series
-from ..operators.records import typed
+from ..operators.records import typed, with_labels
 from ..session import apply_session_defaults, scratch_path
 from ..sinks import cells
 from ..sinks.files import write_by_day
@@ -146,6 +146,11 @@ def paytype_distribution(spark, sf_dir):
     return flows.paytype_distribution(_typed(spark, sf_dir))
 
 
+def decoded_records(spark, sf_dir):
+    """Clean records with status and pay-type labels."""
+    return with_labels(_typed(spark, sf_dir)).withColumn("event_ts", ts_text("event_ts"))
+
+
 def service_day_span(spark, sf_dir):
     """O5."""
     return flows.day_span(_typed(spark, sf_dir))
@@ -292,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "line_flow_pivot": line_flow_pivot,
     "paytype_distribution": paytype_distribution,
     "service_day_span": service_day_span,
+    "decoded_records": decoded_records,
     "parse_lines_strict": parse_lines_strict,
     "parse_lines_lax": parse_lines_lax,
     "minute_flow_line": minute_flow_line,

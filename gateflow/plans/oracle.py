@@ -209,6 +209,15 @@ dim(pay_type, pay_label) as (values ('0', 'ordinary'), ('1', 'student'), ('2', '
 select pt.pay_type, dim.pay_label, pt.total_count,
        cast(pt.total_count as double) / cast(sum(pt.total_count) over () as double) as share
 from pt left join dim on pt.pay_type = dim.pay_type""")
+    q["decoded_records"] = _with(CLS, """
+select c.service_date, strftime(strptime(c.time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') as event_ts,
+       c.lineID, cast(c.stationID as int) as stationID, cast(c.deviceID as int) as deviceID,
+       cast(c.status as int) as status, c.userID, cast(c.payType as int) as payType,
+       s.status_label, p.pay_label
+from clean c
+left join (values ('0', 'exit'), ('1', 'entry')) s(code, status_label) on c.status = s.code
+left join (values ('0', 'ordinary'), ('1', 'student'), ('2', 'senior'), ('3', 'other')) p(code, pay_label)
+  on c.payType = p.code""")
     q["service_day_span"] = _with(CLS, """
 select min(service_date) as first_day, max(service_date) as last_day,
        count(distinct service_date) as days from typed""")

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partition keys of this library's tables are text ("2019-01-05").
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -50,6 +52,7 @@ def apply_session_defaults(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone",
                    spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
 
 
 def shared_dir(spark: SparkSession) -> str:

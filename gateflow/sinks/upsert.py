@@ -68,9 +68,12 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
         _write(latest_per_key(upd, keys).select(*cols, VERSION_COL), target, partition_by, fmt)
         return
 
+    # Read with the update's own schema: partition values keep their type
+    # (a "2019-01-05" folder name must not come back as a DATE).
+    schema = upd.select(*cols, VERSION_COL).schema
     staging = _staging_path(spark, target, version)
     if not _fs_exists(spark, staging, "_SUCCESS"):
-        existing = spark.read.format(fmt).load(target)
+        existing = spark.read.format(fmt).schema(schema).load(target)
         if partition_by:
             touched = upd.select(*partition_by).distinct()
             existing = existing.join(touched, list(partition_by), "left_semi")
@@ -78,7 +81,7 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
         merged = latest_per_key(both, keys).select(*cols, VERSION_COL)
         _write(merged, staging, partition_by, fmt, success_marker=True, dynamic=False)
 
-    staged = spark.read.format(fmt).load(staging).select(*cols, VERSION_COL)
+    staged = spark.read.format(fmt).schema(schema).load(staging).select(*cols, VERSION_COL)
     _write(staged, target, partition_by, fmt)
 
 
@@ -98,8 +101,11 @@ def _write(df: DataFrame, path: str, partition_by, fmt: str,
 
 
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet",
-               keep_version: bool = False) -> DataFrame:
-    df = spark.read.format(fmt).load(target)
+               keep_version: bool = False, schema=None) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(target)
     return df if keep_version else df.drop(VERSION_COL)
 
 

@@ -114,17 +114,33 @@ def start_rejects(lines: DataFrame, target: str, query_name: str = "stream_rejec
                 .start())
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait for every query; the first failure surfaces at once."""
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery],
+              poll_seconds: int = 5) -> None:
+    """Wait for every query; the first failure stops the others and is
+    raised (waiting on one query after another would hide a failure of the
+    second while the first runs)."""
     pending = list(queries)
     while pending:
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
         for q in list(pending):
-            if not q.isActive:
-                if q.exception() is not None:
-                    raise q.exception()
-                pending.remove(q)
+            q.awaitTermination(poll_seconds)
+            if q.isActive:
+                continue
+            pending.remove(q)
+            if q.exception() is not None:
+                for other in pending:
+                    other.stop()
+                raise q.exception()
+
+
+def console_batch_writer(keys: Sequence[str], rows: int = 100):
+    """Print each micro-batch's per-key totals in key order (a
+    bounded ``show``, for watching a stream by hand)."""
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch_df.orderBy(*keys).show(rows, truncate=False)
+
+    return write
 
 
 def run_to_completion(lines: DataFrame, target: str, keys: Sequence[str] = LINE_KEYS,
