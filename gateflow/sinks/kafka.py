@@ -14,8 +14,11 @@ from ..sources.lines import to_line
 
 def kafka_source_options(servers: str, topic: str, starting_offsets: str = "latest",
                          fail_on_data_loss: bool = False,
-                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
-    """Subscribe, start at latest, tolerate lost offsets."""
+                         max_offsets_per_trigger: int | None = None,
+                         min_partitions: int | None = None) -> dict[str, str]:
+    """Subscribe, start at latest, tolerate lost offsets.
+    ``min_partitions`` splits few topic partitions into more tasks without
+    a shuffle (the studied topic had one partition)."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -24,6 +27,8 @@ def kafka_source_options(servers: str, topic: str, starting_offsets: str = "late
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 

@@ -14,8 +14,8 @@ a distributed merge:
 
 Spark cannot overwrite a path it is reading, hence the staging copy.  The
 staging path is fixed per (table, version): a replayed micro-batch finds
-the finished staging copy and only repeats step 3, so replays never change
-the result.
+the finished staging copy and only repeats step 3 (or nothing, once the
+copy is marked applied), so replays never change the result.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 VERSION_COL = "_version"
+# Written into a staging folder once its rows are in the target.
+APPLIED_MARKER = "_APPLIED"
 
 
 def _fs_exists(spark: SparkSession, path: str, child: str | None = None) -> bool:
@@ -52,11 +54,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version_col: str = VERSIO
 
 
 def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
-           partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+           partition_by: Sequence[str] = (), fmt: str = "parquet",
+           unique_keys: bool = False) -> None:
     """Merge ``updates`` into the table at ``target`` (created if absent).
 
     ``version`` orders competing rows for one key (a batch id, a load
-    time); rows of one call share it.  Existing rows keep their own."""
+    time); rows of one call share it.  Existing rows keep their own.
+    ``unique_keys`` states that ``updates`` has one row per key (an
+    aggregation's output), which saves a shuffle on the first load."""
     spark = updates.sparkSession
     cols = list(updates.columns)
     upd = updates.withColumn(VERSION_COL, F.lit(version).cast("bigint"))
@@ -65,13 +70,16 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
         # First load: nothing to merge with.  The commit protocol makes the
         # write all-or-nothing; a replay after it finds the table and merges
         # the same rows again, which changes nothing.
-        _write(latest_per_key(upd, keys).select(*cols, VERSION_COL), target, partition_by, fmt)
+        first = upd if unique_keys else latest_per_key(upd, keys)
+        _write(first.select(*cols, VERSION_COL), target, partition_by, fmt)
         return
 
     # Read with the update's own schema: partition values keep their type
     # (a "2019-01-05" folder name must not come back as a DATE).
     schema = upd.select(*cols, VERSION_COL).schema
     staging = _staging_path(spark, target, version)
+    if _fs_exists(spark, staging, APPLIED_MARKER):
+        return                                   # this version is already in
     if not _fs_exists(spark, staging, "_SUCCESS"):
         existing = spark.read.format(fmt).schema(schema).load(target)
         if partition_by:
@@ -83,6 +91,14 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
 
     staged = spark.read.format(fmt).schema(schema).load(staging).select(*cols, VERSION_COL)
     _write(staged, target, partition_by, fmt)
+    _touch(spark, f"{staging}/{APPLIED_MARKER}")
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).create(p, True).close()
 
 
 def _write(df: DataFrame, path: str, partition_by, fmt: str,
@@ -110,7 +126,7 @@ def read_table(spark: SparkSession, target: str, fmt: str = "parquet",
 
 
 def upsert_batch_writer(target: str, keys: Sequence[str], partition_by: Sequence[str] = (),
-                        fmt: str = "parquet"):
+                        fmt: str = "parquet", unique_keys: bool = True):
     """A ``foreachBatch`` function merging each micro-batch,
     with the batch id as version.  Nothing is collected to the driver; an
     empty batch is skipped with a cheap emptiness probe."""
@@ -121,7 +137,7 @@ def upsert_batch_writer(target: str, keys: Sequence[str], partition_by: Sequence
         batch_df.persist()
         try:
             if not batch_df.isEmpty():
-                upsert(batch_df, target, keys, batch_id, partition_by, fmt)
+                upsert(batch_df, target, keys, batch_id, partition_by, fmt, unique_keys)
         finally:
             batch_df.unpersist()
 

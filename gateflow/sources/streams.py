@@ -32,4 +32,7 @@ def events_line_stream(spark: SparkSession, sf_dir: str, faults: bool = True,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(sf_dir).select("event_id", "ts", "user_id")
+    # One small file is one task per micro-batch; spread it over the cores
+    # (a message bus would use its own partitions, e.g. Kafka minPartitions).
+    events = events.repartition(spark.sparkContext.defaultParallelism)
     return to_line(raw_swipes(events, faults))
