@@ -76,17 +76,19 @@ def ingest_profile(raw: DataFrame, time_scale: Fraction = REPLAY_TIME_SCALE,
     number of records sent, the gap to the previous minute and the replay
     wait (gap x scale, truncated to whole ms).
 
-    The windows run on the per-minute aggregate (at most 1,440 valid keys
-    per day), never on the records."""
+    Only minute keys that parse as a time take part (the studied producer
+    fails on any other), so a day's window partition holds one row per
+    valid minute key of that day's file (1,440 when its rows are from its
+    own day), never the records, whatever the input size."""
     minute = minute_key(F.trim(F.col(time_col)))
-    agg = (raw.filter(minute.isNotNull())
+    minute_ts = parse_time(F.concat(minute, F.lit(":00")))
+    agg = (raw.filter(minute_ts.isNotNull())
               .groupBy(F.col(day_col).alias("service_date"), minute.alias("minute"))
               .agg(F.count(F.lit(1)).alias("records")))
     w = W.partitionBy("service_date").orderBy("minute")
     ts = parse_time(F.concat(F.col("minute"), F.lit(":00")))
     prev = F.lag(ts).over(w)
-    gap_ms = F.when(prev.isNull() & (F.row_number().over(w) == 1), F.lit(0)).otherwise(
-        (F.unix_micros(ts) - F.unix_micros(prev)) / 1000).cast("bigint")
+    gap_ms = F.coalesce((F.unix_micros(ts) - F.unix_micros(prev)) / 1000, F.lit(0)).cast("bigint")
     num, den = time_scale.numerator, time_scale.denominator
     out = agg.select(
         "service_date", "minute", "records",

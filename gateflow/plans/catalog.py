@@ -265,6 +265,23 @@ def stream_minute_line_append(spark, sf_dir):
     return _stream_run(spark, sf_dir, stream.LINE_KEYS, "append", "stream_minute_line_append")
 
 
+def stream_line_rollup(spark, sf_dir):
+    """T8 with one query: station windows, line rows rolled up per batch."""
+    lines = events_line_stream(spark, sf_dir)
+    station_target = scratch_path(spark, "tables", "station_statistics")
+    line_target = scratch_path(spark, "tables", "line_statistics")
+    run_id = line_target.rsplit("/", 1)[-1]
+    q = stream.start_station_and_line_flow(
+        lines, station_target, line_target, "update", "stream_line_rollup",
+        checkpoint=stream.checkpoint_location(spark, "stream_line_rollup", run_id),
+        trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    out = read_table(spark, line_target)
+    return _minute_text(out.select("minute", "lineID", "total_flow", "exit_count", "entry_count"))
+
+
 def stream_rejects(spark, sf_dir):
     """Rejected messages of the stream, written by a file sink."""
     lines = events_line_stream(spark, sf_dir)
@@ -315,5 +332,6 @@ QUERIES: dict[str, Query] = {
     "stream_minute_line_update": stream_minute_line_update,
     "stream_minute_station_update": stream_minute_station_update,
     "stream_minute_line_append": stream_minute_line_append,
+    "stream_line_rollup": stream_line_rollup,
     "stream_rejects": stream_rejects,
 }

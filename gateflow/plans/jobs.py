@@ -99,13 +99,13 @@ def paytype_job(spark: SparkSession, clean_path: str, out_folder: str, period: P
 
 def start_stream_jobs(lines: DataFrame, out_folder: str, output_mode: str = "update",
                       trigger: dict | None = None):
-    """Line and station queries plus the rejects sink over one source;
-    wait with ``streaming.minute_flow.await_all``."""
+    """Station and line tables from one windowed query (the source is
+    read and parsed once for both), plus the rejects sink; wait with
+    ``streaming.minute_flow.await_all``."""
     return [
-        stream.start_minute_flow(lines, f"{out_folder}/line_statistics", stream.LINE_KEYS,
-                                 output_mode, "line_statistics", trigger=trigger),
-        stream.start_minute_flow(lines, f"{out_folder}/station_statistics", stream.STATION_KEYS,
-                                 output_mode, "station_statistics", trigger=trigger),
+        stream.start_station_and_line_flow(lines, f"{out_folder}/station_statistics",
+                                           f"{out_folder}/line_statistics", output_mode,
+                                           "station_and_line_statistics", trigger=trigger),
         stream.start_rejects(lines, f"{out_folder}/stream_rejects", "stream_rejects",
                              trigger=trigger),
     ]

@@ -235,14 +235,16 @@ from lax""")
     q["metro_minute_station"] = _with(LINES, "select * from mms")
     q["ingest_profile"] = _with(RAW + r""",
 a as (select service_date, substr(trim(time), 1, 16) as minute, count(*) as records
-      from raw where length(trim(time)) >= 16 group by all),
-b as (select *, try_strptime(minute || ':00', '%Y-%m-%d %H:%M:%S') as ts from a),
-c as (select *, lag(ts) over w as prev, row_number() over w as rn,
+      from raw where length(trim(time)) >= 16
+        and try_strptime(substr(trim(time), 1, 16) || ':00', '%Y-%m-%d %H:%M:%S') is not null
+      group by all),
+b as (select *, strptime(minute || ':00', '%Y-%m-%d %H:%M:%S') as ts from a),
+c as (select *, lag(ts) over w as prev,
              sum(records) over (w rows between unbounded preceding and current row) as sent
       from b window w as (partition by service_date order by minute))""", """
 select service_date, minute, records, cast(sent as bigint) as sent_total,
-       case when rn = 1 and prev is null then 0 else (epoch_us(ts) - epoch_us(prev)) // 1000 end as gap_ms,
-       (case when rn = 1 and prev is null then 0 else (epoch_us(ts) - epoch_us(prev)) // 1000 end) // 60 as wait_ms
+       coalesce((epoch_us(ts) - epoch_us(prev)) // 1000, 0) as gap_ms,
+       coalesce((epoch_us(ts) - epoch_us(prev)) // 1000, 0) // 60 as wait_ms
 from c""")
     q["live_series_line"] = _with(LINES, """
 select 'Line ' || lineID as series, minute as x, total_flow as y from mfl where lineID in ('A', 'B', 'C')
@@ -291,6 +293,7 @@ select * from v1 where not exists
   (select 1 from v2 where v2.service_date = v1.service_date and v2.time_slot = v1.time_slot)""")
     q["stream_minute_line_update"] = q["minute_flow_line"]
     q["stream_minute_station_update"] = q["minute_flow_station"]
+    q["stream_line_rollup"] = q["minute_flow_line"]
     q["stream_minute_line_append"] = _with(LINES, """
 select * from mfl
 where strptime(minute, '%Y-%m-%d %H:%M:%S') + interval '2 minutes'

@@ -93,3 +93,25 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
         q.awaitTermination()
     got = {(r.lineID, r.total_flow) for r in read_table(spark, target).collect()}
     assert got == {("A", 2), ("B", 1)}
+
+
+def test_single_query_line_rollup_equals_two_queries(spark, tmp_path):
+    src = tmp_path / "in"
+    # Batch 1 changes only station A-3 of minute 06:00; the line row must
+    # still include station A-4 from batch 0.
+    _write_batches(src, [B0, ["2019-01-05 06:00:40,A,3,10,1,U7,0"], B1, B2])
+    station_t = scratch_path(spark, "test-tables")
+    line_t = scratch_path(spark, "test-tables")
+    q = S.start_station_and_line_flow(text_line_stream(spark, str(src), max_files_per_trigger=1),
+                                      station_t, line_t, "update", "roll_" + uuid.uuid4().hex[:8],
+                                      checkpoint=scratch_path(spark, "test-ckpt"),
+                                      trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {(str(r.minute), r.lineID, r.total_flow, r.exit_count, r.entry_count)
+           for r in read_table(spark, line_t).collect()}
+    two = _run(spark, src, S.LINE_KEYS, "update")
+    want = {(str(r.minute), r.lineID, r.total_flow, r.exit_count, r.entry_count) for r in two.collect()}
+    assert got == want
+    a0600 = [r for r in got if r[1] == "A" and r[0].endswith("06:00:00")]
+    assert a0600[0][2] == 4
