@@ -282,6 +282,28 @@ def stream_line_rollup(spark, sf_dir):
     return _minute_text(out.select("minute", "lineID", "total_flow", "exit_count", "entry_count"))
 
 
+def _metro_stream_run(spark, sf_dir, name):
+    lines = events_line_stream(spark, sf_dir)
+    station_target = scratch_path(spark, "tables", "metro_station_stats")
+    line_target = scratch_path(spark, "tables", "metro_line_stats")
+    run_id = line_target.rsplit("/", 1)[-1]
+    q = stream.start_metro_flow(lines, station_target, line_target, "append", name,
+                                checkpoint=stream.checkpoint_location(spark, name, run_id),
+                                trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return station_target, line_target
+
+
+def stream_metro_line_append(spark, sf_dir):
+    """The hand-written consumer's line table, a minute saved
+    once complete."""
+    _, line_target = _metro_stream_run(spark, sf_dir, "stream_metro_line_append")
+    return read_table(spark, line_target).select("minute", "lineID", "in_count", "out_count",
+                                                 "total_count")
+
+
 def stream_rejects(spark, sf_dir):
     """Rejected messages of the stream, written by a file sink."""
     lines = events_line_stream(spark, sf_dir)
@@ -333,5 +355,6 @@ QUERIES: dict[str, Query] = {
     "stream_minute_station_update": stream_minute_station_update,
     "stream_minute_line_append": stream_minute_line_append,
     "stream_line_rollup": stream_line_rollup,
+    "stream_metro_line_append": stream_metro_line_append,
     "stream_rejects": stream_rejects,
 }

@@ -298,5 +298,13 @@ select * from v1 where not exists
 select * from mfl
 where strptime(minute, '%Y-%m-%d %H:%M:%S') + interval '2 minutes'
       <= (select max(date_trunc('minute', ts)) from sv)""")
+    q["stream_metro_line_append"] = _with(LINES + """,
+lvt as (select *, try_strptime(minute || ':00', '%Y-%m-%d %H:%M:%S') as mts from lv)""", """
+select minute, lineID, count(*) filter (where status = '1') as in_count,
+       count(*) filter (where status = '0') as out_count,
+       count(*) filter (where status = '1') + count(*) filter (where status = '0') as total_count
+from lvt
+where mts is not null and mts + interval '2 minutes' <= (select max(mts) from lvt)
+group by minute, lineID""")
     q["stream_rejects"] = _with(LINES, "select raw, reject_reason from strict where reject_reason is not null")
     return q

@@ -18,7 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
 from ..sinks.upsert import VERSION_COL, read_table, upsert, upsert_batch_writer
-from ..sources.lines import strict_records, strict_rejects
+from ..functions.labels import station_key
+from ..functions.time import parse_time
+from ..sources.lines import lax_records, strict_records, strict_rejects
 
 # --- fixed values: stream settings of the studied consumer ------------------
 WATERMARK_DELAY = "1 minute"
@@ -107,13 +109,12 @@ def line_rollup(stations: DataFrame) -> DataFrame:
             .select("minute", "lineID", "total_flow", "exit_count", "entry_count", "day"))
 
 
-def station_and_line_writer(station_target: str, line_target: str):
+def rollup_writer(station_target: str, line_target: str, station_keys, line_keys, rollup):
     """``foreachBatch`` for T8 with one source read: upsert the changed
     station windows, then rebuild the line rows of the touched minutes from
     the station table (all stations of those minutes, also ones unchanged in
     this batch) and upsert them.  A replay skips the applied station upsert
     and recomputes the same line rows."""
-    keys = ["minute", *STATION_KEYS]
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -121,19 +122,24 @@ def station_and_line_writer(station_target: str, line_target: str):
         try:
             if batch_df.isEmpty():
                 return
-            upsert(batch_df, station_target, keys, batch_id, ["day"], unique_keys=True)
+            upsert(batch_df, station_target, list(station_keys), batch_id, ["day"], unique_keys=True)
             schema = batch_df.withColumn(VERSION_COL, F.lit(0).cast("bigint")).schema
             touched = batch_df.select("day", "minute").distinct()
             stations = (read_table(spark, station_target, schema=schema)
                         .join(touched, ["day", "minute"], "left_semi"))
-            upsert(line_rollup(stations), line_target, ["minute", *LINE_KEYS], batch_id,
-                   ["day"], unique_keys=True)
+            upsert(rollup(stations), line_target, list(line_keys), batch_id, ["day"],
+                   unique_keys=True)
         finally:
             batch_df.unpersist()
 
     return write
 
 
+def station_and_line_writer(station_target: str, line_target: str):
+    return rollup_writer(station_target, line_target, ["minute", *STATION_KEYS],
+                         ["minute", *LINE_KEYS], line_rollup)
+
+
 def start_station_and_line_flow(lines: DataFrame, station_target: str, line_target: str,
                                 output_mode: str = "update",
                                 query_name: str = "station_and_line_flow",
@@ -153,6 +159,52 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
                 .start())
 
 
+def windowed_metro_flow(lax: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """K8/T11 with the hand-written consumer's counting rule (G15): per
+    minute key and station, in = status "1", out = status "0", total =
+    in + out.  The minute key text becomes the event time (P21)."""
+    minute = parse_time(F.concat(F.col("minute"), F.lit(":00")))
+    df = (lax.withColumn("minute_ts", minute).filter(F.col("minute_ts").isNotNull())
+             .withWatermark("minute_ts", watermark))
+    s = F.col("status")
+    agg = (df.groupBy(F.window("minute_ts", WINDOW_LENGTH), "lineID", "stationID")
+             .agg(F.count_if(s == "1").alias("in_count"), F.count_if(s == "0").alias("out_count")))
+    start = F.col("window.start")
+    return agg.select(F.date_format(start, "yyyy-MM-dd HH:mm").alias("minute"), "lineID", "stationID",
+                      station_key("lineID", "stationID").alias("station_key"),
+                      "in_count", "out_count",
+                      (F.col("in_count") + F.col("out_count")).alias("total_count"),
+                      F.date_format(start, "yyyy-MM-dd").alias("day"))
+
+
+def metro_line_rollup(stations: DataFrame) -> DataFrame:
+    return (stations.groupBy("minute", "lineID", "day")
+            .agg(F.sum("in_count").alias("in_count"), F.sum("out_count").alias("out_count"),
+                 F.sum("total_count").alias("total_count"))
+            .select("minute", "lineID", "in_count", "out_count", "total_count", "day"))
+
+
+def start_metro_flow(lines: DataFrame, station_target: str, line_target: str,
+                     output_mode: str = "append", query_name: str = "metro_flow",
+                     checkpoint: str | None = None, trigger: dict | None = None,
+                     watermark: str = WATERMARK_DELAY) -> StreamingQuery:
+    """The hand-written consumer as one query: lax parse, a minute is saved
+    with all its keys once it is complete (append), line rows rolled up
+    from the station rows of the same minutes."""
+    spark = lines.sparkSession
+    flow = windowed_metro_flow(lax_records(lines), watermark)
+    trig = trigger or {"processingTime": "0 seconds"}
+    return (flow.writeStream
+                .queryName(query_name)
+                .outputMode(output_mode)
+                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
+                .foreachBatch(rollup_writer(station_target, line_target,
+                                            ["minute", "lineID", "stationID"], ["minute", "lineID"],
+                                            metro_line_rollup))
+                .trigger(**trig)
+                .start())
+
+
 def start_rejects(lines: DataFrame, target: str, query_name: str = "stream_rejects",
                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Rejected messages to their own append-only file table (the
