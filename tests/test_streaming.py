@@ -1,6 +1,8 @@
 """Minute flow on a file stream equals the batch result; late
 rows behind the watermark are dropped; rejects go to their own sink."""
 
+import os
+import time
 import uuid
 
 from gateflow.operators import minute
@@ -12,9 +14,14 @@ from gateflow.streaming import minute_flow as S
 
 
 def _write_batches(folder, batches):
+    """One file per micro-batch.  The file source orders files by
+    modification time, so each gets a distinct, increasing one."""
     folder.mkdir()
+    base = time.time() - 1000
     for i, msgs in enumerate(batches):
-        (folder / f"part-{i:03d}.txt").write_text("\n".join(msgs) + "\n")
+        f = folder / f"part-{i:03d}.txt"
+        f.write_text("\n".join(msgs) + "\n")
+        os.utime(f, (base + i * 10, base + i * 10))
 
 
 def _run(spark, folder, keys, mode):
