@@ -28,10 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (a small single-row-group file is one task).  A large input has
     far more splits than cores and is returned untouched, so no extra
     shuffle is ever added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:          # no RDD access (e.g. a Connect session)
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def _base(events: DataFrame, faults: bool) -> DataFrame:
