@@ -215,3 +215,17 @@ def day_span(typed: DataFrame) -> DataFrame:
     return typed.agg(F.min("service_date").alias("first_day"),
                      F.max("service_date").alias("last_day"),
                      F.countDistinct("service_date").alias("days"))
+
+
+def in_slot_order(df: DataFrame) -> DataFrame:
+    """O1: slots ascending within a day (then line and direction when
+    present).  Only for display: a global sort is one range-partitioned
+    stage over the small result table."""
+    extra = [c for c in ("lineID", "status", "series") if c in df.columns]
+    return df.orderBy("service_date", "time_slot", *extra)
+
+
+def in_station_order(df: DataFrame) -> DataFrame:
+    """O2: stations ascending with a total order (the studied sort left
+    ties between lines open)."""
+    return df.orderBy("service_date", "stationID", "lineID", "status")

@@ -81,3 +81,14 @@ def test_week_comparison_has_base_in_every_group(spark):
     assert groups == {"05_to_11": {"01-01", "01-05"}, "12_to_18": {"01-01", "01-12"},
                       "19_to_25": {"01-01", "01-19"}}
     assert {r.x for r in out} == {"08:15"}
+
+
+def test_display_orders(spark):
+    rows = [swipe(user="a", time="2019-01-05 07:10:00", line="B", station="2"),
+            swipe(user="b", time="2019-01-05 06:10:00", line="A", station="2"),
+            swipe(user="c", time="2019-01-05 06:40:00", line="A", station="1")]
+    t = _typed(spark, rows)
+    slots = [r.time_slot for r in flows.in_slot_order(flows.halfhour_flow(t)).collect()]
+    assert slots == ["06:00", "06:30", "07:00"]
+    st = [(r.stationID, r.lineID) for r in flows.in_station_order(flows.station_flow_daily(t)).collect()]
+    assert st == [(1, "A"), (2, "A"), (2, "B")]
