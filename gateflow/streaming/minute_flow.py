@@ -109,12 +109,17 @@ def line_rollup(stations: DataFrame) -> DataFrame:
             .select("minute", "lineID", "total_flow", "exit_count", "entry_count", "day"))
 
 
-def rollup_writer(station_target: str, line_target: str, station_keys, line_keys, rollup):
+def rollup_writer(station_target: str, line_target: str, station_keys, line_keys, rollup,
+                  from_batch: bool = False):
     """``foreachBatch`` for T8 with one source read: upsert the changed
     station windows, then rebuild the line rows of the touched minutes from
     the station table (all stations of those minutes, also ones unchanged in
     this batch) and upsert them.  A replay skips the applied station upsert
-    and recomputes the same line rows."""
+    and recomputes the same line rows.
+
+    ``from_batch``: in append mode a closed minute leaves the state store
+    with all its keys in one micro-batch, so its line rows come from the
+    batch itself and the station table is not read back."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -123,10 +128,13 @@ def rollup_writer(station_target: str, line_target: str, station_keys, line_keys
             if batch_df.isEmpty():
                 return
             upsert(batch_df, station_target, list(station_keys), batch_id, ["day"], unique_keys=True)
-            schema = batch_df.withColumn(VERSION_COL, F.lit(0).cast("bigint")).schema
-            touched = batch_df.select("day", "minute").distinct()
-            stations = (read_table(spark, station_target, schema=schema)
-                        .join(touched, ["day", "minute"], "left_semi"))
+            if from_batch:
+                stations = batch_df
+            else:
+                schema = batch_df.withColumn(VERSION_COL, F.lit(0).cast("bigint")).schema
+                touched = batch_df.select("day", "minute").distinct()
+                stations = (read_table(spark, station_target, schema=schema)
+                            .join(touched, ["day", "minute"], "left_semi"))
             upsert(rollup(stations), line_target, list(line_keys), batch_id, ["day"],
                    unique_keys=True)
         finally:
@@ -135,9 +143,9 @@ def rollup_writer(station_target: str, line_target: str, station_keys, line_keys
     return write
 
 
-def station_and_line_writer(station_target: str, line_target: str):
+def station_and_line_writer(station_target: str, line_target: str, from_batch: bool = False):
     return rollup_writer(station_target, line_target, ["minute", *STATION_KEYS],
-                         ["minute", *LINE_KEYS], line_rollup)
+                         ["minute", *LINE_KEYS], line_rollup, from_batch)
 
 
 def start_station_and_line_flow(lines: DataFrame, station_target: str, line_target: str,
@@ -154,7 +162,8 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
                 .queryName(query_name)
                 .outputMode(output_mode)
                 .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
-                .foreachBatch(station_and_line_writer(station_target, line_target))
+                .foreachBatch(station_and_line_writer(station_target, line_target,
+                                                      from_batch=output_mode == "append"))
                 .trigger(**trig)
                 .start())
 
@@ -200,7 +209,8 @@ def start_metro_flow(lines: DataFrame, station_target: str, line_target: str,
                 .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
                 .foreachBatch(rollup_writer(station_target, line_target,
                                             ["minute", "lineID", "stationID"], ["minute", "lineID"],
-                                            metro_line_rollup))
+                                            metro_line_rollup,
+                                            from_batch=output_mode == "append"))
                 .trigger(**trig)
                 .start())
 

@@ -122,3 +122,20 @@ def test_single_query_line_rollup_equals_two_queries(spark, tmp_path):
     assert got == want
     a0600 = [r for r in got if r[1] == "A" and r[0].endswith("06:00:00")]
     assert a0600[0][2] == 4
+
+
+def test_append_rollup_from_batch_equals_table_rollup(spark, tmp_path):
+    src = tmp_path / "in"
+    _write_batches(src, [B0, ["2019-01-05 06:00:40,A,3,10,1,U7,0"], B1, B2, B3])
+    station_t = scratch_path(spark, "test-tables")
+    line_t = scratch_path(spark, "test-tables")
+    q = S.start_station_and_line_flow(text_line_stream(spark, str(src), max_files_per_trigger=1),
+                                      station_t, line_t, "append", "app_" + uuid.uuid4().hex[:8],
+                                      checkpoint=scratch_path(spark, "test-ckpt"),
+                                      trigger={"availableNow": True})
+    q.awaitTermination()
+    lines = {(str(r.minute), r.lineID, r.total_flow) for r in read_table(spark, line_t).collect()}
+    from_stations = {(str(r.minute), r.lineID, r.total_flow)
+                     for r in S.line_rollup(read_table(spark, station_t)).collect()}
+    assert lines == from_stations
+    assert ("2019-01-05 06:00:00", "A", 4) in lines
