@@ -5,7 +5,7 @@ Two counting rules exist in the studied code and both are kept:
 
 * ``minute_flow_*`` (the Structured Streaming consumer): ``total_flow``
   counts every parsed row, ``exit_count`` / ``entry_count`` status 0 / 1;
-* ``metro_minute_*`` (the hand-written consumer): only status "0"/"1" are
+* ``inout_minute_*`` (the hand-written consumer): only status "0"/"1" are
   counted, total = in + out, but an unknown status still creates the key
   with zeros.
 """
@@ -49,22 +49,22 @@ def minute_flow_station(records: DataFrame) -> DataFrame:
     return minute_flow(records, ("lineID", "stationID"))
 
 
-def _metro_aggs():
+def _inout_aggs():
     s = F.col("status")
     inc = F.count_if(s == "1")
     outc = F.count_if(s == "0")
     return (inc.alias("in_count"), outc.alias("out_count"), (inc + outc).alias("total_count"))
 
 
-def metro_minute_line(lax: DataFrame) -> DataFrame:
+def inout_minute_line(lax: DataFrame) -> DataFrame:
     """Per minute key ("yyyy-MM-dd HH:mm") and line; ``lax`` is the
     output of ``sources.lines.parse_lax`` (valid rows)."""
-    return lax.groupBy("minute", "lineID").agg(*_metro_aggs())
+    return lax.groupBy("minute", "lineID").agg(*_inout_aggs())
 
 
-def metro_minute_station(lax: DataFrame) -> DataFrame:
+def inout_minute_station(lax: DataFrame) -> DataFrame:
     """Per minute key and station key "line-station"."""
-    agg = lax.groupBy("minute", "lineID", "stationID").agg(*_metro_aggs())
+    agg = lax.groupBy("minute", "lineID", "stationID").agg(*_inout_aggs())
     return agg.select("minute", "lineID", "stationID",
                       station_key("lineID", "stationID").alias("station_key"),
                       "in_count", "out_count", "total_count")

@@ -178,14 +178,14 @@ def minute_flow_station(spark, sf_dir):
     return _minute_text(minute.minute_flow_station(_strict_valid(spark, sf_dir)))
 
 
-def metro_minute_line(spark, sf_dir):
+def inout_minute_line(spark, sf_dir):
     """G14/F15."""
-    return minute.metro_minute_line(_lax_valid(spark, sf_dir))
+    return minute.inout_minute_line(_lax_valid(spark, sf_dir))
 
 
-def metro_minute_station(spark, sf_dir):
+def inout_minute_station(spark, sf_dir):
     """G15/P14."""
-    return minute.metro_minute_station(_lax_valid(spark, sf_dir))
+    return minute.inout_minute_station(_lax_valid(spark, sf_dir))
 
 
 def ingest_profile(spark, sf_dir):
@@ -200,7 +200,7 @@ def live_series_line(spark, sf_dir):
 
 def live_series_station(spark, sf_dir):
     """C7/F14."""
-    return series.live_series_station(minute.metro_minute_station(_lax_valid(spark, sf_dir)))
+    return series.live_series_station(minute.inout_minute_station(_lax_valid(spark, sf_dir)))
 
 
 def rowkey_cells_line(spark, sf_dir):
@@ -213,14 +213,14 @@ def rowkey_cells_station(spark, sf_dir):
     return cells.station_cells(minute.minute_flow_station(_strict_valid(spark, sf_dir)))
 
 
-def metro_cells_line(spark, sf_dir):
-    """K6/K7/K8, metro line table."""
-    return cells.metro_line_cells(minute.metro_minute_line(_lax_valid(spark, sf_dir)))
+def inout_cells_line(spark, sf_dir):
+    """K6/K7/K8, in/out line table."""
+    return cells.inout_line_cells(minute.inout_minute_line(_lax_valid(spark, sf_dir)))
 
 
-def metro_cells_station(spark, sf_dir):
-    """K6/K7/K8, metro station table."""
-    return cells.metro_station_cells(minute.metro_minute_station(_lax_valid(spark, sf_dir)))
+def inout_cells_station(spark, sf_dir):
+    """K6/K7/K8, in/out station table."""
+    return cells.inout_station_cells(minute.inout_minute_station(_lax_valid(spark, sf_dir)))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -281,12 +281,12 @@ def stream_line_rollup(spark, sf_dir):
     return _minute_text(out.select("minute", "lineID", "total_flow", "exit_count", "entry_count"))
 
 
-def _metro_stream_run(spark, sf_dir, name):
+def _inout_stream_run(spark, sf_dir, name):
     lines = events_line_stream(spark, sf_dir)
-    station_target = scratch_path(spark, "tables", "metro_station_stats")
-    line_target = scratch_path(spark, "tables", "metro_line_stats")
+    station_target = scratch_path(spark, "tables", "inout_station_stats")
+    line_target = scratch_path(spark, "tables", "inout_line_stats")
     run_id = line_target.rsplit("/", 1)[-1]
-    q = stream.start_metro_flow(lines, station_target, line_target, "append", name,
+    q = stream.start_inout_flow(lines, station_target, line_target, "append", name,
                                 checkpoint=stream.checkpoint_location(spark, name, run_id),
                                 trigger={"availableNow": True})
     q.awaitTermination()
@@ -295,10 +295,10 @@ def _metro_stream_run(spark, sf_dir, name):
     return station_target, line_target
 
 
-def stream_metro_line_append(spark, sf_dir):
+def stream_inout_line_append(spark, sf_dir):
     """The hand-written consumer's line table, a minute saved
     once complete."""
-    _, line_target = _metro_stream_run(spark, sf_dir, "stream_metro_line_append")
+    _, line_target = _inout_stream_run(spark, sf_dir, "stream_inout_line_append")
     return read_table(spark, line_target).select("minute", "lineID", "in_count", "out_count",
                                                  "total_count")
 
@@ -340,20 +340,20 @@ QUERIES: dict[str, Query] = {
     "parse_lines_lax": parse_lines_lax,
     "minute_flow_line": minute_flow_line,
     "minute_flow_station": minute_flow_station,
-    "metro_minute_line": metro_minute_line,
-    "metro_minute_station": metro_minute_station,
+    "inout_minute_line": inout_minute_line,
+    "inout_minute_station": inout_minute_station,
     "ingest_profile": ingest_profile,
     "live_series_line": live_series_line,
     "live_series_station": live_series_station,
     "rowkey_cells_line": rowkey_cells_line,
     "rowkey_cells_station": rowkey_cells_station,
-    "metro_cells_line": metro_cells_line,
-    "metro_cells_station": metro_cells_station,
+    "inout_cells_line": inout_cells_line,
+    "inout_cells_station": inout_cells_station,
     "upsert_latest_wins": upsert_latest_wins,
     "stream_minute_line_update": stream_minute_line_update,
     "stream_minute_station_update": stream_minute_station_update,
     "stream_minute_line_append": stream_minute_line_append,
     "stream_line_rollup": stream_line_rollup,
-    "stream_metro_line_append": stream_metro_line_append,
+    "stream_inout_line_append": stream_inout_line_append,
     "stream_rejects": stream_rejects,
 }

@@ -88,7 +88,7 @@ def station_job(spark: SparkSession, clean_path: str, out_folder: str, period: P
 
 def daily_line_job(spark: SparkSession, clean_path: str, out_folder: str, period: Period) -> None:
     t = _clean_typed(spark, clean_path, period.days())
-    upsert(flows.line_flow_daily_with_total(t), f"{out_folder}/metro_passenger_flow",
+    upsert(flows.line_flow_daily_with_total(t), f"{out_folder}/daily_line_flow",
            ["service_date", "lineID"], _version(), partition_by=["service_date"])
 
 

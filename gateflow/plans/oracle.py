@@ -231,8 +231,8 @@ select raw, time, minute, lineID, stationID, status, reject_reason is null as is
 from lax""")
     q["minute_flow_line"] = _with(LINES, "select * from mfl")
     q["minute_flow_station"] = _with(LINES, "select * from mfs")
-    q["metro_minute_line"] = _with(LINES, "select * from mml")
-    q["metro_minute_station"] = _with(LINES, "select * from mms")
+    q["inout_minute_line"] = _with(LINES, "select * from mml")
+    q["inout_minute_station"] = _with(LINES, "select * from mms")
     q["ingest_profile"] = _with(RAW + r""",
 a as (select service_date, substr(trim(time), 1, 16) as minute, count(*) as records
       from raw where length(trim(time)) >= 16
@@ -273,11 +273,11 @@ union all select {key}, 'station_id', cast(stationID as varchar) from mfs
 union all select {key}, 'total_flow', cast(total_flow as varchar) from mfs
 union all select {key}, 'exit_count', cast(exit_count as varchar) from mfs
 union all select {key}, 'entry_count', cast(entry_count as varchar) from mfs""")
-    q["metro_cells_line"] = _with(LINES, """
+    q["inout_cells_line"] = _with(LINES, """
 select minute || '-' || lineID as row_key, 'in_count' as qualifier, cast(in_count as varchar) as value from mml
 union all select minute || '-' || lineID, 'out_count', cast(out_count as varchar) from mml
 union all select minute || '-' || lineID, 'total_count', cast(total_count as varchar) from mml""")
-    q["metro_cells_station"] = _with(LINES, """
+    q["inout_cells_station"] = _with(LINES, """
 select minute || '-' || station_key as row_key, 'in_count' as qualifier, cast(in_count as varchar) as value from mms
 union all select minute || '-' || station_key, 'out_count', cast(out_count as varchar) from mms
 union all select minute || '-' || station_key, 'total_count', cast(total_count as varchar) from mms""")
@@ -298,7 +298,7 @@ select * from v1 where not exists
 select * from mfl
 where strptime(minute, '%Y-%m-%d %H:%M:%S') + interval '2 minutes'
       <= (select max(date_trunc('minute', ts)) from sv)""")
-    q["stream_metro_line_append"] = _with(LINES + """,
+    q["stream_inout_line_append"] = _with(LINES + """,
 lvt as (select *, try_strptime(minute || ':00', '%Y-%m-%d %H:%M:%S') as mts from lv)""", """
 select minute, lineID, count(*) filter (where status = '1') as in_count,
        count(*) filter (where status = '0') as out_count,

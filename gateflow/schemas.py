@@ -32,8 +32,8 @@ DIRECTION_INFLOW, DIRECTION_OUTFLOW = "Inflow", "Outflow"
 TOTAL_LABEL = "total"
 # Studied period: January 2019, days 1..25; week groups 05-11, 12-18, 19-25
 # compared against day 01; line and station analyses use day 01 and 05-11.
-REFERENCE_MONTH = "2019-01"
-REFERENCE_FIRST_DAY, REFERENCE_LAST_DAY = 1, 25
+STUDY_MONTH = "2019-01"
+STUDY_FIRST_DAY, STUDY_LAST_DAY = 1, 25
 WEEK_GROUPS = ((5, 11), (12, 18), (19, 25))
 WEEK_BASE_DAY = 1
 LINE_ANALYSIS_DAYS = (1, 5, 6, 7, 8, 9, 10, 11)
@@ -65,9 +65,9 @@ LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 class Period:
     """The month and day range a data set covers; drives the time rules."""
 
-    month: str = REFERENCE_MONTH          # "yyyy-MM"
-    first_day: int = REFERENCE_FIRST_DAY
-    last_day: int = REFERENCE_LAST_DAY
+    month: str = STUDY_MONTH          # "yyyy-MM"
+    first_day: int = STUDY_FIRST_DAY
+    last_day: int = STUDY_LAST_DAY
 
     @property
     def time_regex(self) -> str:
@@ -91,4 +91,4 @@ class Period:
         return [self.day(d) for d in nums]
 
 
-REFERENCE_PERIOD = Period()
+STUDY_PERIOD = Period()

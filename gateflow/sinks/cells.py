@@ -15,11 +15,11 @@ from ..functions.time import jvm_timestamp_text
 # --- fixed values: row-key layouts and qualifiers of the studied tables -----
 # line_statistics:    "<Timestamp.toString>_<line>", family cf
 # station_statistics: "<Timestamp.toString>_<line>_<station>", family cf
-# metro_line_stats:   "<yyyy-MM-dd HH:mm>-<line>", family stats
-# metro_station_stats:"<yyyy-MM-dd HH:mm>-<line>-<station>", family stats
+# inout_line_stats:   "<yyyy-MM-dd HH:mm>-<line>", family stats
+# inout_station_stats:"<yyyy-MM-dd HH:mm>-<line>-<station>", family stats
 LINE_QUALIFIERS = ("time", "line_id", "total_flow", "exit_count", "entry_count")
 STATION_QUALIFIERS = ("time", "line_id", "station_id", "total_flow", "exit_count", "entry_count")
-METRO_QUALIFIERS = ("in_count", "out_count", "total_count")
+INOUT_QUALIFIERS = ("in_count", "out_count", "total_count")
 # -----------------------------------------------------------------------------
 
 
@@ -45,11 +45,11 @@ def station_cells(minute_station: DataFrame) -> DataFrame:
     return _cells(minute_station, key, values)
 
 
-def metro_line_cells(metro_line: DataFrame) -> DataFrame:
-    values = {q: F.col(q) for q in METRO_QUALIFIERS}
-    return _cells(metro_line, F.concat_ws("-", F.col("minute"), F.col("lineID")), values)
+def inout_line_cells(inout_line: DataFrame) -> DataFrame:
+    values = {q: F.col(q) for q in INOUT_QUALIFIERS}
+    return _cells(inout_line, F.concat_ws("-", F.col("minute"), F.col("lineID")), values)
 
 
-def metro_station_cells(metro_station: DataFrame) -> DataFrame:
-    values = {q: F.col(q) for q in METRO_QUALIFIERS}
-    return _cells(metro_station, F.concat_ws("-", F.col("minute"), F.col("station_key")), values)
+def inout_station_cells(inout_station: DataFrame) -> DataFrame:
+    values = {q: F.col(q) for q in INOUT_QUALIFIERS}
+    return _cells(inout_station, F.concat_ws("-", F.col("minute"), F.col("station_key")), values)

@@ -168,7 +168,7 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
                 .start())
 
 
-def windowed_metro_flow(lax: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+def windowed_inout_flow(lax: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
     """K8/T11 with the hand-written consumer's counting rule (G15): per
     minute key and station, in = status "1", out = status "0", total =
     in + out.  The minute key text becomes the event time (P21)."""
@@ -186,22 +186,22 @@ def windowed_metro_flow(lax: DataFrame, watermark: str = WATERMARK_DELAY) -> Dat
                       F.date_format(start, "yyyy-MM-dd").alias("day"))
 
 
-def metro_line_rollup(stations: DataFrame) -> DataFrame:
+def inout_line_rollup(stations: DataFrame) -> DataFrame:
     return (stations.groupBy("minute", "lineID", "day")
             .agg(F.sum("in_count").alias("in_count"), F.sum("out_count").alias("out_count"),
                  F.sum("total_count").alias("total_count"))
             .select("minute", "lineID", "in_count", "out_count", "total_count", "day"))
 
 
-def start_metro_flow(lines: DataFrame, station_target: str, line_target: str,
-                     output_mode: str = "append", query_name: str = "metro_flow",
+def start_inout_flow(lines: DataFrame, station_target: str, line_target: str,
+                     output_mode: str = "append", query_name: str = "inout_flow",
                      checkpoint: str | None = None, trigger: dict | None = None,
                      watermark: str = WATERMARK_DELAY) -> StreamingQuery:
     """The hand-written consumer as one query: lax parse, a minute is saved
     with all its keys once it is complete (append), line rows rolled up
     from the station rows of the same minutes."""
     spark = lines.sparkSession
-    flow = windowed_metro_flow(lax_records(lines), watermark)
+    flow = windowed_inout_flow(lax_records(lines), watermark)
     trig = trigger or {"processingTime": "0 seconds"}
     return (flow.writeStream
                 .queryName(query_name)
@@ -209,7 +209,7 @@ def start_metro_flow(lines: DataFrame, station_target: str, line_target: str,
                 .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
                 .foreachBatch(rollup_writer(station_target, line_target,
                                             ["minute", "lineID", "stationID"], ["minute", "lineID"],
-                                            metro_line_rollup,
+                                            inout_line_rollup,
                                             from_batch=output_mode == "append"))
                 .trigger(**trig)
                 .start())

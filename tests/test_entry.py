@@ -19,7 +19,7 @@ def test_every_query_has_oracle():
 
 
 @pytest.mark.parametrize("name", ["quality_report", "station_top10", "line_flow_daily_with_total",
-                                  "paytype_distribution", "metro_minute_station", "ingest_profile"])
+                                  "paytype_distribution", "inout_minute_station", "ingest_profile"])
 def test_matches_oracle_small(spark, name):
     con = duckdb.connect()
     con.execute(f"create view events as select * from read_parquet('{SF_SMALL}/events.parquet')")

@@ -4,7 +4,7 @@ from conftest import raw_frame, swipe
 
 from gateflow.operators import flows
 from gateflow.operators.records import typed
-from gateflow.schemas import REFERENCE_PERIOD as P
+from gateflow.schemas import STUDY_PERIOD as P
 
 
 def _typed(spark, rows):

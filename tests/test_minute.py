@@ -23,10 +23,10 @@ def test_minute_flow_counts_all_rows_in_total(spark):
     assert got == {("A", 3, 1, 1), ("B", 1, 0, 1)}
 
 
-def test_metro_total_counts_only_known_status(spark):
+def test_inout_total_counts_only_known_status(spark):
     recs = L.lax_records(_lines(spark, MSGS))
     st = {r.station_key: (r.in_count, r.out_count, r.total_count)
-          for r in minute.metro_minute_station(recs).filter("minute = '2019-01-05 06:10'").collect()}
+          for r in minute.inout_minute_station(recs).filter("minute = '2019-01-05 06:10'").collect()}
     # unknown status still creates the key, with zeros
     assert st == {"A-3": (1, 1, 2), "A-4": (0, 0, 0)}
 
@@ -48,7 +48,7 @@ def test_live_series_only_known_lines(spark):
 
 def test_station_series_selection(spark):
     recs = L.lax_records(_lines(spark, MSGS))
-    ms = minute.metro_minute_station(recs)
+    ms = minute.inout_minute_station(recs)
     out = series.live_series_station(ms, line="A", stations=["A-3"], types=["total"]).collect()
     assert [(r.series, r.x, r.y) for r in out] == [("A-3 (total)", "2019-01-05 06:10", 2)]
 
@@ -61,5 +61,5 @@ def test_row_keys_and_cells(spark):
     assert got == {(key, "time", "2019-01-05 06:10:00.0"), (key, "line_id", "A"),
                    (key, "total_flow", "1"), (key, "exit_count", "0"), (key, "entry_count", "1")}
     lax = L.lax_records(_lines(spark, MSGS[:1]))
-    mk = {r.row_key for r in cells.metro_station_cells(minute.metro_minute_station(lax)).collect()}
+    mk = {r.row_key for r in cells.inout_station_cells(minute.inout_minute_station(lax)).collect()}
     assert mk == {"2019-01-05 06:10-A-3"}

@@ -3,7 +3,7 @@
 from conftest import raw_frame, swipe
 
 from gateflow.operators import quality
-from gateflow.schemas import REFERENCE_PERIOD as P
+from gateflow.schemas import STUDY_PERIOD as P
 
 
 def _clean_keys(spark, rows):
