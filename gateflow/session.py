@@ -25,18 +25,51 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
+                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Split and shuffle sizes for an input of ``input_bytes`` on ``cores``
+    task slots.
+
+    * scan splits of ``split_bytes`` keep each task's input bounded;
+    * the initial shuffle width gives the full-row dedup shuffle about one
+      split's worth of data per reducer, at least two waves of tasks, and
+      at most ``max_shuffle_partitions`` (map x reduce shuffle blocks grow
+      quadratically; past that, bigger reducers spill through the sort-based
+      aggregate instead);
+    * AQE coalesces the small aggregate shuffles down to the advisory size
+      and splits skewed partitions of joins and rebalances.
+    """
+    width = -(-input_bytes // split_bytes)
+    width = max(2 * cores, min(width, max_shuffle_partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "gateflow",
                 shuffle_partitions: int | None = None,
-                extra_conf: dict | None = None) -> SparkSession:
+                extra_conf: dict | None = None,
+                input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: AQE
-    coalesces the shuffle width at run time.
+    On a cluster leave ``master`` and ``shuffle_partitions`` unset and give
+    ``input_bytes`` and ``cores`` (see ``sizing_conf``); AQE then coalesces
+    the shuffle width at run time.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and cores:
+        conf.update(sizing_conf(input_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
