@@ -65,6 +65,14 @@ def swipe_scan(spark, sf_dir):
     return _raw(spark, sf_dir)
 
 
+def raw_csv_roundtrip(spark, sf_dir):
+    """Raw swipes written as day-partitioned CSV with a header
+    line, read back by position with the fixed all-text schema."""
+    path = scratch_path(spark, "raw-csv")
+    write_by_day(_raw(spark, sf_dir), path, fmt="csv")
+    return read_clean_layer(spark, path, fmt="csv")
+
+
 def quality_null_counts(spark, sf_dir):
     """G1/G2."""
     return quality.null_counts(_raw(spark, sf_dir))
@@ -319,6 +327,7 @@ def stream_rejects(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "swipe_scan": swipe_scan,
+    "raw_csv_roundtrip": raw_csv_roundtrip,
     "quality_null_counts": quality_null_counts,
     "quality_report": quality_report,
     "quality_report_text": quality_report_text,

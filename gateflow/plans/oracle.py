@@ -148,6 +148,7 @@ _DETAIL = ("concat_ws(',', case when bad_time then 'bad_time' end, case when bad
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["swipe_scan"] = _with(RAW, f"select {COLS} from raw")
+    q["raw_csv_roundtrip"] = q["swipe_scan"]
     q["quality_null_counts"] = _with(RAW, "select service_date, count(*) as total, "
                                      + ", ".join(f"count(*) filter (where {c} is null) as null_{c}"
                                                  for c in _NULL_COLS)
