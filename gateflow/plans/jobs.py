@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import flows, quality
 from ..operators.records import typed
-from ..schemas import LINE_ANALYSIS_DAYS, Period
+from ..schemas import LINE_ANALYSIS_DAYS, WEEK_BASE_DAY, WEEK_GROUPS, Period
 from ..sinks.files import write_by_day, write_table
 from ..sinks.upsert import upsert
 from ..sources.daily_files import read_clean_layer, read_daily_csv
@@ -62,8 +62,13 @@ def _clean_typed(spark: SparkSession, clean_path: str, days=None, fmt: str = "pa
     return typed(read_clean_layer(spark, clean_path, days, fmt))
 
 
-def halfhour_job(spark: SparkSession, clean_path: str, out_folder: str, period: Period) -> None:
-    t = _clean_typed(spark, clean_path)
+def halfhour_job(spark: SparkSession, clean_path: str, out_folder: str, period: Period,
+                 day_numbers: Sequence[int] | None = None) -> None:
+    """Half-hour flow of the base day and the week-group days (or the
+    given days), and the week comparison series."""
+    if day_numbers is None:
+        day_numbers = sorted({WEEK_BASE_DAY} | {d for a, b in WEEK_GROUPS for d in range(a, b + 1)})
+    t = _clean_typed(spark, clean_path, period.days(day_numbers))
     upsert(flows.halfhour_flow(t), f"{out_folder}/passenger_flow",
            ["service_date", "time_slot"], _version(), partition_by=["service_date"])
     upsert(flows.week_comparison(t, period), f"{out_folder}/week_comparison",
