@@ -2,7 +2,7 @@
 
     clean     --raw DIR --out DIR [--month 2019-01 --first 1 --last 25]
     analyses  --out DIR (reads DIR/clean, writes the five result tables)
-    stream    --source DIR --out DIR [--mode update|append]
+    stream    --source DIR --out DIR [--mode update|append] [--rocksdb] [--console]
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ def main(argv=None) -> None:
     ap.add_argument("--last", type=int, default=25)
     ap.add_argument("--mode", default="update", choices=["update", "append"])
     ap.add_argument("--rocksdb", action="store_true")
+    ap.add_argument("--console", action="store_true", help="also print per-line totals")
     args = ap.parse_args(argv)
 
     spark = get_session()
@@ -44,7 +45,7 @@ def main(argv=None) -> None:
     else:
         configure_state(spark, rocksdb=args.rocksdb)
         lines = text_line_stream(spark, args.source)
-        await_all(spark, jobs.start_stream_jobs(lines, out, args.mode))
+        await_all(spark, jobs.start_stream_jobs(lines, out, args.mode, console=args.console))
 
 
 if __name__ == "__main__":

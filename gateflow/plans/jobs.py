@@ -103,11 +103,20 @@ def paytype_job(spark: SparkSession, clean_path: str, out_folder: str, period: P
 
 
 def start_stream_jobs(lines: DataFrame, out_folder: str, output_mode: str = "update",
-                      trigger: dict | None = None):
+                      trigger: dict | None = None, console: bool = False):
     """Station and line tables from one windowed query (the source is
     read and parsed once for both), plus the rejects sink; wait with
-    ``streaming.minute_flow.await_all``."""
-    return [
+    ``streaming.minute_flow.await_all``.  ``console`` adds a query printing
+    the per-line totals of each micro-batch in key order (K9)."""
+    extra = []
+    if console:
+        flow = stream.windowed_minute_flow(stream.parsed_records(lines), stream.LINE_KEYS)
+        extra.append(flow.writeStream.queryName("line_console").outputMode("update")
+                     .option("checkpointLocation", stream.checkpoint_location(
+                         lines.sparkSession, "line_console", str(_version())))
+                     .foreachBatch(stream.console_batch_writer(["minute", "lineID"]))
+                     .trigger(**(trigger or {"processingTime": "0 seconds"})).start())
+    return extra + [
         stream.start_station_and_line_flow(lines, f"{out_folder}/station_statistics",
                                            f"{out_folder}/line_statistics", output_mode,
                                            "station_and_line_statistics", trigger=trigger),

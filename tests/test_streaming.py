@@ -139,3 +139,16 @@ def test_append_rollup_from_batch_equals_table_rollup(spark, tmp_path):
                      for r in S.line_rollup(read_table(spark, station_t)).collect()}
     assert lines == from_stations
     assert ("2019-01-05 06:00:00", "A", 4) in lines
+
+
+def test_stream_jobs_with_console(spark, tmp_path, capsys):
+    from gateflow.plans import jobs
+    src = tmp_path / "in"
+    _write_batches(src, [B0])
+    out = scratch_path(spark, "test-jobs")
+    qs = jobs.start_stream_jobs(text_line_stream(spark, str(src)), out, "update",
+                                trigger={"availableNow": True}, console=True)
+    S.await_all(spark, qs)
+    got = {(r.lineID, r.total_flow) for r in read_table(spark, f"{out}/line_statistics").collect()}
+    assert got == {("A", 2), ("B", 1)}
+    assert spark.read.parquet(f"{out}/stream_rejects").count() == 1
