@@ -9,7 +9,8 @@ aggregation keyed by the full row (``service_date`` + seven columns):
 * the rows are hash-partitioned by the full row, not by day, so one huge
   day still spreads over every task;
 * clean rows, rejects and the report are three projections of the same
-  grouped frame (``clean_all`` persists it once when all three are built).
+  grouped frame (``clean_all`` writes it once to the shared folder when all
+  three are built).
 
 Stage order matters for the counts: nulls, then duplicates (per day), then
 abnormal, then out-of-range.
@@ -19,12 +20,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import abnormal, any_null, broken_rules, out_of_range
 from ..schemas import RAW_COLUMNS, Period
+from ..session import scratch_path
 
 KEY = ("service_date", *RAW_COLUMNS)
 
@@ -159,20 +160,33 @@ class CleaningResult:
     rejects: DataFrame
     report: DataFrame
     groups: DataFrame
+    groups_path: str
 
     def release(self) -> None:
-        self.groups.unpersist()
-
-
-def clean_all(raw: DataFrame, period: Period,
-              storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> CleaningResult:
-    """Clean rows, rejects and report sharing one shuffle: the grouped frame
-    is persisted (an executor loss recomputes only its lost blocks from the
-    short scan -> aggregate lineage).  Call ``release()`` after writing."""
-    groups = row_groups(raw).persist(storage)
+        """Delete the grouping table once the outputs are written."""
+        spark = self.groups.sparkSession
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.groups_path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clean_all(raw: DataFrame, period: Period, groups_path: str | None = None) -> CleaningResult:
+    """Clean rows, rejects and report from one shuffle.
+
+    The grouping (one row per distinct row and day, with its copy count) is
+    written once as a table in the shared folder and the three outputs are
+    read from it.  Measured at 10 M rows this beats both caching it
+    (memory or disk) and grouping three times.  Losing an executor later
+    loses nothing: the table is on shared storage, so the lineage is cut.
+    Call ``release()`` after writing the outputs."""
+    spark = raw.sparkSession
+    path = groups_path or scratch_path(spark, "quality-groups")
+    row_groups(raw).write.mode("overwrite").parquet(path)
+    groups = spark.read.parquet(path)
     return CleaningResult(
         clean=clean_from_groups(groups, period),
         rejects=rejects_from_groups(groups, period),
         report=report_from_groups(groups, period),
         groups=groups,
+        groups_path=path,
     )

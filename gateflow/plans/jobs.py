@@ -44,7 +44,7 @@ def clean_job(spark: SparkSession, raw_folder: str, out_folder: str, period: Per
               days: Iterable[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """Clean the daily files; returns the report (read back from its table).
 
-    One scan, one shuffle (persisted grouping), three writes."""
+    One scan, one shuffle (the grouping, written once), three writes."""
     raw = read_daily_csv(spark, raw_folder, days)
     res = quality.clean_all(raw, period)
     try:

@@ -3,6 +3,9 @@ the swipe projection once as a raw parquet layer, then time the one-pass
 report, the clean-layer write and the analyses on the clean layer.
 
     python tools/volume.py K OUT_DIR [SF_DIR]      # K=575 -> ~58.6 M rows
+
+Set VOLUME_STEPS=clean_all to time only the shared-grouping cleaning
+(clean layer + rejects + report written from one shuffle).
 """
 
 from __future__ import annotations
@@ -50,6 +53,20 @@ def main() -> None:
         timed("materialise raw layer", lambda: raw_swipes(rep).write.parquet(raw_path))
     raw = spark.read.parquet(raw_path)
     print("raw rows", raw.count(), flush=True)
+    if os.environ.get("VOLUME_STEPS") == "clean_all":
+        from gateflow.sinks.files import write_table
+
+        def shared():
+            res = quality.clean_all(raw, P)
+            try:
+                write_by_day(res.clean, f"{out}/clean_all/clean")
+                write_table(res.rejects, f"{out}/clean_all/rejects", partition_by=["service_date"])
+                write_table(res.report, f"{out}/clean_all/report", partition_by=["service_date"])
+            finally:
+                res.release()
+        timed("clean_all: clean + rejects + report", shared)
+        spark.stop()
+        return
     timed("report (one pass)", noop(quality.report(raw, P)))
     timed("clean -> day-partitioned clean layer", lambda: write_by_day(quality.clean(raw, P), f"{out}/clean"))
     t = typed(read_clean_layer(spark, f"{out}/clean"))
