@@ -59,7 +59,9 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
     """Merge ``updates`` into the table at ``target`` (created if absent).
 
     ``version`` orders competing rows for one key (a batch id, a load
-    time); rows of one call share it.  Existing rows keep their own.
+    time); rows of one call share it.  Existing rows keep their own.  A
+    version names one immutable update: calling again with the same version
+    is treated as a replay of it.
     ``unique_keys`` states that ``updates`` has one row per key (an
     aggregation's output), which saves a shuffle on the first load."""
     spark = updates.sparkSession
@@ -87,7 +89,10 @@ def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
             existing = existing.join(touched, list(partition_by), "left_semi")
         both = existing.select(*cols, VERSION_COL).unionByName(upd.select(*cols, VERSION_COL))
         merged = latest_per_key(both, keys).select(*cols, VERSION_COL)
-        _write(merged, staging, partition_by, fmt, success_marker=True, dynamic=False)
+        # Partitioned like the target but not rebalanced: it is read back and
+        # rebalanced once, on the final write.
+        _write(merged, staging, partition_by, fmt, success_marker=True, dynamic=False,
+               rebalance=False)
 
     staged = spark.read.format(fmt).schema(schema).load(staging).select(*cols, VERSION_COL)
     _write(staged, target, partition_by, fmt)
@@ -102,8 +107,8 @@ def _touch(spark: SparkSession, path: str) -> None:
 
 
 def _write(df: DataFrame, path: str, partition_by, fmt: str,
-           success_marker: bool = False, dynamic: bool = True) -> None:
-    if partition_by:
+           success_marker: bool = False, dynamic: bool = True, rebalance: bool = True) -> None:
+    if partition_by and rebalance:
         # One file per partition value unless AQE finds it too large.
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
