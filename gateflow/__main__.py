@@ -11,7 +11,7 @@ import argparse
 
 from .plans import jobs
 from .schemas import Period
-from .session import get_session
+from .session import get_session, size_for_input
 from .sources.streams import text_line_stream
 from .streaming.minute_flow import await_all, configure_state
 
@@ -34,9 +34,11 @@ def main(argv=None) -> None:
     period = Period(args.month, args.first, args.last)
     out = args.out.rstrip("/")
     if args.job == "clean":
+        size_for_input(spark, args.raw)
         jobs.clean_job(spark, args.raw, out, period)
     elif args.job == "analyses":
         clean = f"{out}/clean"
+        size_for_input(spark, clean)
         jobs.halfhour_job(spark, clean, out, period)
         jobs.line_halfhour_job(spark, clean, out, period)
         jobs.station_job(spark, clean, out, period)

@@ -54,6 +54,19 @@ def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
     }
 
 
+def size_for_input(spark: SparkSession, path: str) -> dict[str, str]:
+    """Measure ``path`` on its file system and apply ``sizing_conf`` for it
+    and the session's task slots (all are runtime SQL settings)."""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(jpath).getLength()
+    conf = sizing_conf(max(int(size), 1), sc.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def get_session(master: str | None = None, app_name: str = "gateflow",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None,

@@ -16,3 +16,16 @@ def test_shared_dir_comes_from_session(spark):
     base = shared_dir(spark)
     assert base and scratch_path(spark, "x").startswith(base + "/x/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_size_for_input_sets_runtime_conf(spark, tmp_path):
+    from gateflow.session import size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    (tmp_path / "f.csv").write_text("x\n" * 1000)
+    try:
+        conf = size_for_input(spark, str(tmp_path))
+        cores = spark.sparkContext.defaultParallelism
+        assert conf["spark.sql.shuffle.partitions"] == str(2 * cores)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(2 * cores)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
