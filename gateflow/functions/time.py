@@ -1,4 +1,5 @@
-"""Time expressions.
+"""Time expressions (P1, P2, P7-P9, P18, P20, P21; slot labels P10-P12 are
+built from integer minutes in ``operators.flows``).
 
 All are native Catalyst expressions, so they stay inside whole-stage codegen
 and never throw under ANSI mode: unparsable text becomes NULL.
@@ -40,16 +41,6 @@ def half_hour_start(ts) -> Column:
     return F.window(_col(ts), "30 minutes").start
 
 
-def slot_label(ts) -> Column:
-    """P10: "HH:mm" label of a time of day."""
-    return F.date_format(_col(ts), "HH:mm")
-
-
-def slot_midpoint_label(slot_start) -> Column:
-    """The point plotted for a half-hour slot, 15 minutes in."""
-    return F.date_format(_col(slot_start) + F.expr("INTERVAL 15 MINUTES"), "HH:mm")
-
-
 def day_label(service_date) -> Column:
     """P20: "MM-dd" series name of a day ("01-05")."""
     return F.substring(_col(service_date), 6, 5)

@@ -73,3 +73,14 @@ def test_foreach_batch_writer_replay_is_noop(spark, tmp_path):
     write(_counts(spark, []).limit(0), 2)          # empty batch: skipped
     assert sorted(map(tuple, read_table(spark, target, keep_version=True).collect())) == state
     assert {(r.slot, r.n) for r in read_table(spark, target).collect()} == {("06:00", 1), ("06:01", 5)}
+
+
+def test_positional_rename_and_kafka_options(spark, tmp_path):
+    from gateflow.sinks.kafka import kafka_source_options
+    from gateflow.sources.daily_files import rename_positional
+    (tmp_path / "r.csv").write_text("a,b,c,d,e,f,g\n2019-01-05 06:00:00,A,1,2,1,U1,0\n")
+    df = rename_positional(spark.read.option("header", True).csv(str(tmp_path / "r.csv")))
+    assert df.columns == ["time", "lineID", "stationID", "deviceID", "status", "userID", "payType"]
+    opts = kafka_source_options("h:9092", "swipes", min_partitions=16)
+    assert opts["startingOffsets"] == "latest" and opts["failOnDataLoss"] == "false"
+    assert opts["subscribe"] == "swipes" and opts["minPartitions"] == "16"
