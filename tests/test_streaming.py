@@ -112,7 +112,8 @@ def test_single_query_line_rollup_equals_two_queries(spark, tmp_path):
     q = S.start_station_and_line_flow(text_line_stream(spark, str(src), max_files_per_trigger=1),
                                       station_t, line_t, "update", "roll_" + uuid.uuid4().hex[:8],
                                       checkpoint=scratch_path(spark, "test-ckpt"),
-                                      trigger={"availableNow": True})
+                                      trigger={"availableNow": True},
+                                      partition_by=S.HOURLY_PARTITIONS)
     q.awaitTermination()
     assert q.exception() is None
     got = {(str(r.minute), r.lineID, r.total_flow, r.exit_count, r.entry_count)
