@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as E
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E.QUERIES)
 
 
 def _norm(v):
