@@ -39,4 +39,35 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_
 FROM m
 """
 
-SQL = {"op9_quality": OP9}
+# Formatted: <|im_start|>role\\n before and \\n<|im_end|>\\n behind each run of one role,
+# \\n<|im_sep|>\\n between its texts, a backslash before each control string in a text.
+OP7 = r"""
+WITH s AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, row_number() OVER w AS k, coalesce(lag(role) OVER w = role, false) AS same,
+         length(text) + len(regexp_extract_all(text,
+           '<\|im_(start|sep|end)\|>|</?s>|\[/?INST\]|<</?SYS>>')) AS n
+  FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n + CASE WHEN same THEN 12 ELSE 13 + length(url_encode(role)) + 12 END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+OP8 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM p
+"""
+
+SQL = {"op7_chat": OP7, "op8_warc": OP8, "op9_quality": OP9}

