@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gateflow.llm import bpe, chat, decontam, license_scan, pii, quality, warc
+from gateflow.llm import bpe, chat, decontam, html_text, license_scan, lm_score, near_dup, pii, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +19,24 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          F.col("quality") == 1)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,4 +63,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op4_pii, op6_decontamination, op7_chat, op8_warc, op9_quality, op10_license_scan)}
+    op1_bpe, op2_html_text, op3_near_duplicates, op4_pii, op5_lm_score, op6_decontamination, op7_chat, op8_warc,
+    op9_quality, op10_license_scan)}
