@@ -66,17 +66,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_WORD = np.zeros(256, dtype=bool)
-_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+# Kinds of bytes: 1 in words, 0 between them; with symbols, 2 for those.
+_WORD = np.zeros(256, dtype=np.int8)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_SYMBOL = np.where(_WORD == 1, 1, 2).astype(np.int8)
+_SYMBOL[[*range(0, 33), 127]] = 0
 _MULT = 0x9E3779B97F4A7C15
 _STEP = 1 << 20
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], symbols: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of each text, flat, with the
     offsets of the texts.  A word is a run of ASCII letters, digits and
-    non-ASCII characters.  Works on slices of about a megabyte, so that one
+    non-ASCII characters; with ``symbols``, a run of other visible characters
+    is a word too.  Works on slices of about a megabyte, so that one
     very long text needs no more memory than many short ones."""
+    kinds = _SYMBOL if symbols else _WORD
     out, counts = [], np.zeros(len(texts) + 1, dtype=np.int64)
     pending: list[tuple[int, bytes]] = []
     size = 0
@@ -84,7 +89,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     def flush() -> None:
         nonlocal size
         if pending:
-            hashes, per = _slice_hashes([b for _, b in pending])
+            hashes, per = _slice_hashes([b for _, b in pending], kinds)
             out.append(hashes)
             for (i, _), n in zip(pending, per):
                 counts[i + 1] += n
@@ -96,7 +101,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = 0
         while at < len(raw):
             to = min(len(raw), at + _STEP)
-            while to < len(raw) and _WORD[raw[to]] and _WORD[raw[to - 1]]:
+            while to < len(raw) and kinds[raw[to]] and kinds[raw[to]] == kinds[raw[to - 1]]:
                 to += 1  # never cut inside a word
             pending.append((i, raw[at:to]))
             size += to - at
@@ -108,11 +113,12 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.cumsum(counts)
 
 
-def _slice_hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _slice_hashes(parts: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-    inside = _WORD[data]
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    kind = np.concatenate(([0], kinds[data], [0]))
+    inside = kind[1:-1] > 0
+    change = kind[1:] != kind[:-1]
+    start, stop = np.flatnonzero(change & (kind[1:] > 0)), np.flatnonzero(change & (kind[:-1] > 0))
     length = stop - start
     ends = np.cumsum([len(p) + 1 for p in parts])
     per = np.diff(np.concatenate(([0], np.searchsorted(start, ends, "left"))))

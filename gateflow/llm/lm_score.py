@@ -1,7 +1,7 @@
 """Operator 5: language-model scoring by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary: words are hashed
-to VOCABULARY numbers and pairs of them to PAIRS cells, both fixed parameters,
+A target and a background bigram model share one vocabulary: words and runs
+of symbols are hashed to VOCABULARY numbers and pairs of them to PAIRS cells, both fixed parameters,
 so that a model has one size whatever the corpus.  The background counts come
 from every document, the target counts from documents with a good label.
 Tasks count their own rows into dense arrays, only non-zero cells are shuffled
@@ -46,7 +46,7 @@ TARGET_ROWS = 20_000
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(previous, current, text number) of all tokens, flat; number 0 stands
     before the first word and after the last one."""
-    flat, ends = word_hashes(texts)
+    flat, ends = word_hashes(texts, symbols=True)
     word = (flat % np.uint64(VOCABULARY - 1)).astype(np.int64) + 1
     count = np.diff(ends)
     whose = np.repeat(np.arange(len(texts)), count + 1)
