@@ -262,9 +262,10 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     return out.withColumnRenamed("id", id_col)
 
 
-def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256) of ``encode``'s rows."""
+def digests(encoded: DataFrame, id_col: str = "doc_id", more: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256) of ``encode``'s rows,
+    and the columns ``more`` of them."""
     return encoded.select(
-        id_col, F.size("ids").cast("long").alias("n_tokens"),
+        id_col, *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -114,3 +114,14 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     kept, names = verdict(rules)
     return measures(df, id_col, text_col, lang_col).withColumn("base_failed", base_failed()).withColumn(
         "broken_rules", names).withColumn("kept", kept)
+
+
+def keep(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang", rules=None) -> DataFrame:
+    """The rows of ``df`` that pass; all columns stay."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("id")
+    lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
+    scored = score(df.select(whole, F.col(text_col).alias("text"), lang.alias("lang")), "id", "text", "lang", rules)
+    # The row number holds the filter above the measures: pushed below them it
+    # would measure every text again for each use of a count.
+    numbered = scored.select("id", "kept", F.monotonically_increasing_id().alias("n"))
+    return numbered.where("kept and n >= 0").select("id.*")

@@ -3,6 +3,7 @@ over its whole table."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +66,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_html_text, op3_near_duplicates, op4_pii, op5_lm_score, op6_decontamination, op7_chat, op8_warc,
     op9_quality, op10_license_scan)}
+QUERIES["pipeline"] = corpus_pipeline.run
