@@ -6,7 +6,7 @@ readers) are cut off by tag, role or class name.  For every remaining node the
 composite density relates its characters to its tags, weakened by the share of
 link text; a node's density sum adds up its children's densities.  The subtree
 with the largest sum is the content, the least density on its path to the body
-being the threshold for what stands beside that path.
+being the threshold for what stands beside that path (headings there need none).
 
 Text: character references decoded, white space inside a block turned into one
 space, blocks joined in page order by one space.
@@ -38,6 +38,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section summary "
                   "table tbody td tfoot th thead tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CUT_TAGS = frozenset("head script style noscript template nav aside footer form button select textarea iframe object "
                      "svg canvas audio video dialog menu title".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
@@ -184,7 +185,7 @@ def content(body: Node, page: Page) -> list[Node]:
     on_path = {id(x) for x in path}
     for x in path[1:]:
         chosen |= {id(c) for c in x.parts if isinstance(c, Node) and not c.cut and id(c) not in on_path
-                   and c.chars and c.density >= threshold}
+                   and c.chars and (c.density >= threshold or c.tag in HEADINGS)}
     return [n for n in page.nodes if id(n) in chosen]
 
 
