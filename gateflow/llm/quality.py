@@ -17,6 +17,8 @@ hash with a probability of about 1e-8 for a million words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,33 @@ def _count_of(characters: str) -> Column:
     return (F.length("t") - F.length(rest)).cast("long")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, also where the optimizer copies
+    the expression elsewhere and where ``body`` uses it for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeat_words(words: Column) -> Column:
+    """How many words stand in a window of three that the text has twice."""
+    def windows(w: Column) -> Column:
+        at = F.when(F.size(w) >= 3, F.sequence(F.lit(0), F.size(w) - 3)).otherwise(F.array().cast("array<int>"))
+        return F.array_sort(F.transform(at, lambda i: F.struct(
+            F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))))
+
+    def repeated(s: Column) -> Column:
+        # Starts of windows that stand beside an equal one in hash order, in text order.
+        again = F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False))
+                         | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
+        return F.sort_array(F.transform(again, lambda x: x["i"]))
+
+    def covered(r: Column) -> Column:
+        # A window covers three words, fewer where the next one begins inside it.
+        cover = F.transform(r, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(r, k + 1) - x, F.lit(3))))
+        return F.aggregate(cover, F.lit(0), lambda a, x: a + x)
+
+    return _let(_let(_let(words, windows), repeated), covered)
+
+
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """(id_col, lang, counts) of every row."""
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
@@ -58,21 +87,11 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         _count_of(SYMBOLS).alias("n_symbols"), _count_of("!?").alias("n_marks"),
         F.array_remove(F.split("t", "[ \t-\r]+", -1), "").alias("w"), lines.alias("lines"))
     stop = F.filter("w", lambda x: F.lower(x).isin(sorted({s for v in STOP_WORDS.values() for s in v.split()})))
-    window = F.transform(
-        F.when(F.size("w") >= 3, F.sequence(F.lit(0), F.size("w") - 3)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("i")))
     d = d.select(
         "id", "lang", F.length(F.array_join("w", "")).cast("long").alias("word_chars"), "n_chars", "n_symbols",
         "n_marks", F.size("w").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(stop).cast("long").alias("n_stop_words"), F.array_sort(window).alias("s"))
-    # Starts of windows that stand beside an equal one in hash order, in text order.
-    again = F.filter("s", lambda x, k: F.coalesce(F.get("s", k - 1)["h"] == x["h"], F.lit(False))
-                     | F.coalesce(F.get("s", k + 1)["h"] == x["h"], F.lit(False)))
-    d = d.withColumn("r", F.sort_array(F.transform(again, lambda x: x["i"]))).drop("s")
-    # A window covers three words, fewer where the next one begins inside it.
-    cover = F.transform("r", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("r", k + 1) - x, F.lit(3))))
-    d = d.withColumn("n_repeat_words", F.aggregate(cover, F.lit(0), lambda a, x: a + x).cast("long")).drop("r")
+        F.size(stop).cast("long").alias("n_stop_words"), _repeat_words(F.col("w")).cast("long").alias("n_repeat_words"))
     return d.withColumnRenamed("id", id_col)
 
 

@@ -1,0 +1,75 @@
+import hashlib
+
+import corpus_pipeline
+import duckdb
+import public_tokenizers
+import pytest
+from llm_rows import *  # noqa: F403
+from test_op6_decontam import plain
+from test_op3_near_dup import brute_classes
+from test_op4_pii import brute as personal
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from gateflow.llm import decontam, oracle, pii
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_run_equals_brute_force(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    passed = {r[0] for r in con.execute(f"select doc_id from ({oracle.OP9}) where kept").fetchall()}
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.doc_id in passed)
+    # Only texts that share a first or a late word can be near copies here; classes by brute force.
+    roots = brute_classes([" ".join(decontam.words_of(t)) for _, t in docs])
+    docs = [d for k, d in enumerate(docs) if roots[k] == k]
+    items = [decontam.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    items = [w for w in items if len(w) >= decontam.LEAST_WORDS]
+    clean = []
+    for i, t in docs:
+        words = decontam.words_of(t)
+        have = set(words)
+        if not any(sum(w not in have for w in set(x)) <= len(x) * decontam.ERROR_RATE
+                   and plain(x, words)[0] <= int(len(x) * decontam.ERROR_RATE) for x in items):
+            clean.append((i, t))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    want = {}
+    for i, t in clean:
+        spans = pii.find(t, pii._automaton())
+        assert [s for s in spans if s[0] in pii.BASE_KINDS] == personal(t)
+        ids = library.encode(pii.masked(t, spans), add_special_tokens=False).ids
+        want[i] = (ids, hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    got = {r.doc_id: (r.ids, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got.keys() == want.keys() and got == want
+
+
+def test_stages_keep_the_columns(spark, docs):
+    good = " ".join(f"the word{i} of thing{i}" for i in range(30))
+    df = docs([good, None, good, "", good + " a@b.co"], [3, None, 2, 1, 1], clash=False)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, df, SF).columns == df.columns
+        assert stage(spark, df.limit(0), SF).count() == 0
+    one = corpus_pipeline.near_duplicates(spark, corpus_pipeline.quality_rules(spark, df, SF), SF).collect()
+    assert [r.doc_id for r in one] == [1]
+    masked = corpus_pipeline.personal_data(spark, df.where("doc_id = 1 and text <> ''"), SF).first()
+    assert masked.text.endswith("[EMAIL]") and masked.n_chars == len(masked.text)
+
+
+@pytest.mark.parametrize("name", sorted(oracle.SQL))
+def test_oracles(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
+    rel = con.sql(entry.oracle_sql()[name])
+    cols = sorted(rel.columns)
+    df = entry.queries()[name](spark, SF)
+    assert sorted(df.columns) == cols
+    want = sorted((tuple(r) for r in con.sql(f"select {', '.join(cols)} from ({entry.oracle_sql()[name]})").fetchall()), key=str)
+    assert sorted((tuple(r) for r in df.select(*cols).collect()), key=str) == want
+
+
+def test_every_operator_is_registered():
+    assert {n.split("_")[0] for n in entry.LLM_QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
