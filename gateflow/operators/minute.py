@@ -12,8 +12,6 @@ Two counting rules exist in the studied code and both are kept:
 
 from __future__ import annotations
 
-from fractions import Fraction
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,11 +19,6 @@ from pyspark.sql import functions as F
 from ..functions.labels import station_key
 from ..functions.time import minute_key, minute_start, parse_time
 
-# --- fixed values: replay pacing of the studied producers --------------------
-# One data minute is replayed in 1/60 of its length (60 s -> 1 s).
-REPLAY_TIME_SCALE = Fraction(1, 60)
-# -----------------------------------------------------------------------------
-
 
 def _flow_aggs():
     return (F.count(F.lit(1)).alias("total_flow"),
@@ -70,11 +63,9 @@ def inout_minute_station(lax: DataFrame) -> DataFrame:
                       "in_count", "out_count", "total_count")
 
 
-def ingest_profile(raw: DataFrame, time_scale: Fraction = REPLAY_TIME_SCALE,
-                   time_col: str = "time", day_col: str = "service_date") -> DataFrame:
+def ingest_profile(raw: DataFrame, time_col: str = "time", day_col: str = "service_date") -> DataFrame:
     """Records per minute key of each day's file, the running
-    number of records sent, the gap to the previous minute and the replay
-    wait (gap x scale, truncated to whole ms).
+    number of records sent and the gap to the previous minute.
 
     Only minute keys that parse as a time take part (the studied producer
     fails on any other), so a day's window partition holds one row per
@@ -89,10 +80,8 @@ def ingest_profile(raw: DataFrame, time_scale: Fraction = REPLAY_TIME_SCALE,
     ts = parse_time(F.concat(F.col("minute"), F.lit(":00")))
     prev = F.lag(ts).over(w)
     gap_ms = F.coalesce((F.unix_micros(ts) - F.unix_micros(prev)) / 1000, F.lit(0)).cast("bigint")
-    num, den = time_scale.numerator, time_scale.denominator
-    out = agg.select(
+    return agg.select(
         "service_date", "minute", "records",
         F.sum("records").over(w.rowsBetween(W.unboundedPreceding, 0)).cast("bigint").alias("sent_total"),
         gap_ms.alias("gap_ms"),
     )
-    return out.withColumn("wait_ms", F.floor(F.col("gap_ms") * num / den).cast("bigint"))

@@ -81,17 +81,19 @@ def rejects_from_groups(groups: DataFrame, period: Period) -> DataFrame:
     Copies of a row are one reject row with ``n`` = number of dropped
     copies, so a hot duplicate never fans out into one task."""
     g = _classified(groups, period)
-    whole = (g.filter(F.col("stage") != "clean")
-             .select(*KEY, F.col("stage").alias("reason"),
-                     F.when(F.col("stage") == "abnormal", broken_rules(period)).alias("detail"),
-                     # a null row is dropped with all its copies; other rows keep one copy
-                     F.when(F.col("stage") == "null", F.col("copies"))
-                     .otherwise(F.lit(1)).cast("bigint").alias("n")))
-    dups = (g.filter((F.col("stage") != "null") & (F.col("copies") > 1))
-            .select(*KEY, F.lit("duplicate").alias("reason"),
-                    F.lit(None).cast("string").alias("detail"),
-                    (F.col("copies") - 1).cast("bigint").alias("n")))
-    return whole.unionByName(dups)
+    stage, copies = F.col("stage"), F.col("copies")
+
+    def entry(reason: Column, detail: Column, n: Column) -> Column:
+        return F.struct(reason.alias("reason"), detail.alias("detail"), n.cast("bigint").alias("n"))
+
+    # a null row is dropped with all its copies; other rows keep one copy
+    whole = F.when(stage != "clean", entry(
+        stage, F.when(stage == "abnormal", broken_rules(period)),
+        F.when(stage == "null", copies).otherwise(F.lit(1))))
+    dups = F.when((stage != "null") & (copies > 1), entry(
+        F.lit("duplicate"), F.lit(None).cast("string"), copies - 1))
+    # Both entries of a group come from one grouping: one scan, one shuffle.
+    return g.select(*KEY, F.inline(F.array_compact(F.array(whole, dups))))
 
 
 def rejects(raw: DataFrame, period: Period) -> DataFrame:

@@ -11,18 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.time import ts_text
 from ..operators import flows, minute, quality, series
 from ..operators.records import typed, with_labels
 from ..session import apply_session_defaults, scratch_path
 from ..sinks import cells
-from ..sinks.files import write_by_day
+from ..sinks.files import write_by_day, write_daily_files
 from ..sinks.upsert import read_table, upsert
-from ..sources.daily_files import read_clean_layer
+from ..sources.daily_files import read_clean_layer, read_daily_csv
 from ..sources.fixture import FIXTURE_PERIOD, raw_swipes_from_dir
 from ..sources.lines import lax_records, parse_lax, parse_strict, strict_records, to_line
-from ..sources.streams import events_line_stream
+from ..sources.streams import events_line_stream, text_line_stream
 from ..streaming import minute_flow as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,13 +107,51 @@ def clean_roundtrip(spark, sf_dir):
     return read_clean_layer(spark, path)
 
 
+#: The day that ``clean_rerun`` finds without a clean row the second time.
+RERUN_DAY = "2024-01-05"
+#: The day list of ``daily_files_scan``'s second read.
+LISTED_DAYS = ("2024-01-02", "2024-01-09", "2024-01-31")
+
+
+def clean_rerun(spark, sf_dir):
+    """K1: clean all days twice; the second time one day's rows are all
+    rejected, so its old clean rows must go."""
+    path = scratch_path(spark, "clean-rerun")
+    raw = _raw(spark, sf_dir)
+    write_by_day(quality.clean(raw, PERIOD), path)
+    line = F.when(F.col("service_date") == RERUN_DAY, F.lit("Z")).otherwise(F.col("lineID"))
+    again = raw.withColumn("lineID", line)
+    empty = quality.report(again, PERIOD).where("final = 0").select("service_date").collect()
+    write_by_day(quality.clean(again, PERIOD), path, empty_days=[r[0] for r in empty])
+    return read_clean_layer(spark, path)
+
+
+def daily_files_scan(spark, sf_dir):
+    """The rows as ``record_<day>.csv`` files, read by folder
+    and by day list; the day comes from the file name."""
+    path = scratch_path(spark, "daily-files")
+    write_daily_files(_raw(spark, sf_dir), path)
+    return read_daily_csv(spark, path).select(F.lit("folder").alias("scan"), "*").unionByName(
+        read_daily_csv(spark, path, LISTED_DAYS).select(F.lit("days").alias("scan"), "*"))
+
+
 # --- batch analyses ----------------------------------------------------------
 
 def halfhour_flow(spark, sf_dir):
-    """G7/P9/P10/O1."""
+    """G7/P9/P10."""
     return flows.halfhour_flow(_typed(spark, sf_dir))
 
 
+def halfhour_flow_in_order(spark, sf_dir):
+    """O1: slots ascending within a day."""
+    return flows.in_slot_order(flows.halfhour_flow(_typed(spark, sf_dir)))
+
+
+def station_flow_in_order(spark, sf_dir):
+    """O2: stations ascending within a day."""
+    return flows.in_station_order(flows.station_flow_daily(_typed(spark, sf_dir)))
+
+
 def halfhour_flow_by_line(spark, sf_dir):
     """G8/P15/F9."""
     return flows.halfhour_flow_by_line(_typed(spark, sf_dir))
@@ -211,6 +250,12 @@ def live_series_station(spark, sf_dir):
     return series.live_series_station(minute.inout_minute_station(_lax_valid(spark, sf_dir)))
 
 
+def live_series_station_selected(spark, sf_dir):
+    """the in and out series of three stations of line A."""
+    return series.live_series_station(minute.inout_minute_station(_lax_valid(spark, sf_dir)), line="A",
+                                      stations=("A-1", "A-7", "A-40", "B-2"), types=("in", "out"))
+
+
 def rowkey_cells_line(spark, sf_dir):
     """K6/K7, line table."""
     return cells.line_cells(minute.minute_flow_line(_strict_valid(spark, sf_dir)))
@@ -247,6 +292,19 @@ def upsert_latest_wins(spark, sf_dir):
     return read_table(spark, target).select("service_date", "time_slot", "traffic_count")
 
 
+def upsert_new_writer(spark, sf_dir):
+    """A first writer loads the counts of the uncleaned rows as
+    version 7; a later one, whose versions begin at 0 again, loads the cleaned
+    counts and outranks it."""
+    target = scratch_path(spark, "tables", "passenger_flow_writers")
+    keys = ["service_date", "time_slot"]
+    upsert(flows.halfhour_flow(typed(_raw(spark, sf_dir))), target, keys, 7,
+           partition_by=["service_date"], writer="1-first")
+    upsert(flows.halfhour_flow(_typed(spark, sf_dir)), target, keys, 0,
+           partition_by=["service_date"], writer="2-second")
+    return read_table(spark, target).select("service_date", "time_slot", "traffic_count")
+
+
 # --- streaming ---------------------------------------------------------------
 
 def _stream_run(spark, sf_dir, keys, mode, name):
@@ -258,7 +316,7 @@ def _stream_run(spark, sf_dir, keys, mode, name):
 
 
 def stream_minute_line_update(spark, sf_dir):
-    """T1/T2/T4/T5/T6/T7/K5 (update mode, upsert sink)."""
+    """T1/T2/T4/T5/T6/K5 (update mode, upsert sink)."""
     return _stream_run(spark, sf_dir, stream.LINE_KEYS, "update", "stream_minute_line_update")
 
 
@@ -311,6 +369,52 @@ def stream_inout_line_append(spark, sf_dir):
                                                  "total_count")
 
 
+def stream_inout_rejects(spark, sf_dir):
+    """T13 for the hand-written consumer: its skipped messages and those
+    whose minute is no time."""
+    target = scratch_path(spark, "tables", "inout_rejects")
+    q = stream.start_inout_rejects(events_line_stream(spark, sf_dir), target, "stream_inout_rejects",
+                                   trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(target)
+
+
+def _sliced_stream(spark, sf_dir, name, slice_of, again, watermark):
+    """The messages of all ``events`` in four slices that arrive one after
+    the other, each as micro-batches of their own; ``again``: the first slice
+    arrives once more at the end.  T7's state settings are on."""
+    raw = _raw(spark, sf_dir).withColumn("_slice", slice_of)
+    folder = scratch_path(spark, "stream-slices")
+    target = scratch_path(spark, "tables", name)
+    before = {k: spark.conf.get(k, None) for k in stream.STATE_CONF}
+    stream.configure_state(spark)
+    try:
+        for k in (0, 1, 2, 3, *((0,) if again else ())):
+            to_line(raw.where(F.col("_slice") == k)).write.mode("append").text(folder)
+            q = stream.start_minute_flow(text_line_stream(spark, folder), target, stream.LINE_KEYS, "update",
+                                         name, trigger={"availableNow": True}, watermark=watermark)
+            q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    out = read_table(spark, target)
+    return _minute_text(out.select("minute", *stream.LINE_KEYS, "total_flow", "exit_count", "entry_count"))
+
+
+def stream_multi_batch_update(spark, sf_dir):
+    """Every minute comes in several micro-batches and is emitted
+    anew with each."""
+    any_slice = F.pmod(F.xxhash64("time", "userID", "deviceID"), F.lit(4))
+    return _sliced_stream(spark, sf_dir, "stream_multi_batch_update", any_slice, False, "60 days")
+
+
+def stream_late_rows(spark, sf_dir):
+    """The first week's messages come a second time, weeks behind the
+    watermark, and change nothing."""
+    week = F.least(F.lit(3), F.floor((F.dayofmonth(F.to_date("service_date")) - 1) / 8))
+    return _sliced_stream(spark, sf_dir, "stream_late_rows", week, True, stream.WATERMARK_DELAY)
+
+
 def stream_rejects(spark, sf_dir):
     """Rejected messages of the stream, written by a file sink."""
     lines = events_line_stream(spark, sf_dir)
@@ -365,4 +469,13 @@ QUERIES: dict[str, Query] = {
     "stream_line_rollup": stream_line_rollup,
     "stream_inout_line_append": stream_inout_line_append,
     "stream_rejects": stream_rejects,
+    "clean_rerun": clean_rerun,
+    "daily_files_scan": daily_files_scan,
+    "halfhour_flow_in_order": halfhour_flow_in_order,
+    "station_flow_in_order": station_flow_in_order,
+    "live_series_station_selected": live_series_station_selected,
+    "upsert_new_writer": upsert_new_writer,
+    "stream_inout_rejects": stream_inout_rejects,
+    "stream_multi_batch_update": stream_multi_batch_update,
+    "stream_late_rows": stream_late_rows,
 }

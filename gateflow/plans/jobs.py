@@ -26,6 +26,7 @@ import time
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import flows, quality
 from ..operators.records import typed
@@ -47,13 +48,19 @@ def clean_job(spark: SparkSession, raw_folder: str, out_folder: str, period: Per
     One scan, one shuffle (the grouping, written once), three writes."""
     raw = read_daily_csv(spark, raw_folder, days)
     res = quality.clean_all(raw, period)
+    schema = res.report.schema
     try:
-        write_by_day(res.clean, f"{out_folder}/clean", fmt=fmt)
-        write_table(res.rejects, f"{out_folder}/rejects", partition_by=["service_date"])
         write_table(res.report, f"{out_folder}/report", partition_by=["service_date"])
+        # One row a day: the days of this run that have no clean row, or no reject.
+        days = res.report.select("service_date", (F.col("final") == 0).alias("no_clean"),
+                                 (F.col("final") == F.col("total")).alias("no_reject")).collect()
+        write_by_day(res.clean, f"{out_folder}/clean", fmt=fmt,
+                     empty_days=[r.service_date for r in days if r.no_clean])
+        write_table(res.rejects, f"{out_folder}/rejects", partition_by=["service_date"],
+                    empty_days=[r.service_date for r in days if r.no_reject])
     finally:
         res.release()
-    report = spark.read.parquet(f"{out_folder}/report")
+    report = spark.read.schema(schema).parquet(f"{out_folder}/report")
     write_table(quality.report_text(report).coalesce(1), f"{out_folder}/report_text", fmt="json")
     return report
 
@@ -108,6 +115,7 @@ def start_stream_jobs(lines: DataFrame, out_folder: str, output_mode: str = "upd
     read and parsed once for both), plus the rejects sink; wait with
     ``streaming.minute_flow.await_all``.  ``console`` adds a query printing
     the per-line totals of each micro-batch in key order (K9)."""
+    # Hour folders: a long-running stream's readers open the last hours only.
     extra = []
     if console:
         flow = stream.windowed_minute_flow(stream.parsed_records(lines), stream.LINE_KEYS)
@@ -119,7 +127,19 @@ def start_stream_jobs(lines: DataFrame, out_folder: str, output_mode: str = "upd
     return extra + [
         stream.start_station_and_line_flow(lines, f"{out_folder}/station_statistics",
                                            f"{out_folder}/line_statistics", output_mode,
-                                           "station_and_line_statistics", trigger=trigger),
+                                           "station_and_line_statistics", trigger=trigger,
+                                           partition_by=stream.HOURLY_PARTITIONS),
         stream.start_rejects(lines, f"{out_folder}/stream_rejects", "stream_rejects",
                              trigger=trigger),
     ]
+
+
+def start_inout_jobs(lines: DataFrame, out_folder: str, trigger: dict | None = None):
+    """The hand-written consumer: in/out tables by station and line,
+    a minute saved when the next one arrives, and its rejects."""
+    return [
+        stream.start_inout_flow(lines, f"{out_folder}/inout_station", f"{out_folder}/inout_line",
+                                query_name="inout_statistics", trigger=trigger,
+                                partition_by=stream.HOURLY_PARTITIONS),
+        stream.start_inout_rejects(lines, f"{out_folder}/inout_rejects", trigger=trigger),
+    ]

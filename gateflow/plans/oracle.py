@@ -244,8 +244,7 @@ c as (select *, lag(ts) over w as prev,
              sum(records) over (w rows between unbounded preceding and current row) as sent
       from b window w as (partition by service_date order by minute))""", """
 select service_date, minute, records, cast(sent as bigint) as sent_total,
-       coalesce((epoch_us(ts) - epoch_us(prev)) // 1000, 0) as gap_ms,
-       coalesce((epoch_us(ts) - epoch_us(prev)) // 1000, 0) // 60 as wait_ms
+       coalesce((epoch_us(ts) - epoch_us(prev)) // 1000, 0) as gap_ms
 from c""")
     q["live_series_line"] = _with(LINES, """
 select 'Line ' || lineID as series, minute as x, total_flow as y from mfl where lineID in ('A', 'B', 'C')
@@ -305,7 +304,27 @@ select minute, lineID, count(*) filter (where status = '1') as in_count,
        count(*) filter (where status = '0') as out_count,
        count(*) filter (where status = '1') + count(*) filter (where status = '0') as total_count
 from lvt
-where mts is not null and mts + interval '2 minutes' <= (select max(mts) from lvt)
+where mts < (select max(mts) from lvt)
 group by minute, lineID""")
     q["stream_rejects"] = _with(LINES, "select raw, reject_reason from strict where reject_reason is not null")
+    q["stream_inout_rejects"] = _with(LINES + """,
+lxt as (select raw, minute, try_strptime(minute || ':00', '%Y-%m-%d %H:%M:%S') as mts, reject_reason from lax)""", """
+select raw, coalesce(reject_reason, 'bad_minute') as reject_reason
+from lxt where reject_reason is not null or mts is null""")
+    q["stream_multi_batch_update"] = q["minute_flow_line"]
+    q["stream_late_rows"] = q["minute_flow_line"]
+    q["clean_rerun"] = _with(CLS, "select * from clean where service_date <> '2024-01-05'")
+    q["daily_files_scan"] = _with(RAW, f"""
+select 'folder' as scan, {COLS} from raw
+union all
+select 'days', {COLS} from raw where service_date in ('2024-01-02', '2024-01-09', '2024-01-31')""")
+    q["halfhour_flow_in_order"] = q["halfhour_flow"]
+    q["station_flow_in_order"] = q["station_flow_daily"]
+    q["live_series_station_selected"] = _with(LINES, """
+select station_key, 'in' as type, station_key || ' (in)' as series, minute as x, in_count as y
+from mms where station_key in ('A-1', 'A-7', 'A-40')
+union all
+select station_key, 'out', station_key || ' (out)', minute, out_count
+from mms where station_key in ('A-1', 'A-7', 'A-40')""")
+    q["upsert_new_writer"] = q["upsert_latest_wins"]
     return q

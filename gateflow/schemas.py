@@ -46,20 +46,6 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_C
 RAW_WITH_DAY_SCHEMA = T.StructType(
     [T.StructField("service_date", T.StringType(), True), *RAW_SCHEMA.fields])
 
-TYPED_SCHEMA = T.StructType([
-    T.StructField("service_date", T.StringType(), True),
-    T.StructField("event_ts", T.TimestampType(), True),
-    T.StructField("lineID", T.StringType(), True),
-    T.StructField("stationID", T.IntegerType(), True),
-    T.StructField("deviceID", T.IntegerType(), True),
-    T.StructField("status", T.IntegerType(), True),
-    T.StructField("userID", T.StringType(), True),
-    T.StructField("payType", T.IntegerType(), True),
-])
-
-# One stream message: the seven fields joined by commas.
-LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
-
 
 @dataclass(frozen=True)
 class Period:
@@ -71,7 +57,7 @@ class Period:
 
     @property
     def time_regex(self) -> str:
-        # Day 00..99 is accepted here on purpose; the range rule removes
+        # Fixed value: the studied time pattern.  Day 00..99 is accepted here on purpose; the range rule removes
         # impossible days afterwards.
         return r"^(" + self.month + r"-\d{2} (?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d)$"
 

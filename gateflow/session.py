@@ -18,9 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Partition keys of this library's tables are text ("2019-01-05").
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -28,22 +25,18 @@ DEFAULT_CONF = {
 MB = 1024 * 1024
 
 
-def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
-                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB) -> dict[str, str]:
     """Split and shuffle sizes for an input of ``input_bytes`` on ``cores``
     task slots.
 
     * scan splits of ``split_bytes`` keep each task's input bounded;
     * the initial shuffle width gives the full-row dedup shuffle about one
-      split's worth of data per reducer, at least two waves of tasks, and
-      at most ``max_shuffle_partitions`` (map x reduce shuffle blocks grow
-      quadratically; past that, bigger reducers spill through the sort-based
-      aggregate instead);
+      split's worth of data per reducer, whatever the input, and at least two
+      waves of tasks;
     * AQE coalesces the small aggregate shuffles down to the advisory size
       and splits skewed partitions of joins and rebalances.
     """
-    width = -(-input_bytes // split_bytes)
-    width = max(2 * cores, min(width, max_shuffle_partitions))
+    width = max(2 * cores, -(-input_bytes // split_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(width),
@@ -56,17 +49,25 @@ def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
 
 def size_for_input(spark: SparkSession, path: str) -> dict[str, str]:
     """Measure ``path`` on its file system and apply ``sizing_conf`` for it
-    and the session's task slots (all are runtime SQL settings)."""
+    and the session's task slots (all are runtime SQL settings).  Settings
+    that the cluster or the user has made stay; returns those applied."""
     sc = spark.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
     size = fs.getContentSummary(jpath).getLength()
     conf = sizing_conf(max(int(size), 1), sc.defaultParallelism)
+    made = spark._jsparkSession.sessionState().conf().settings()
+    conf = {k: v for k, v in conf.items() if not made.containsKey(k) or made.get(k) == _APPLIED.get(k)}
     for key, value in conf.items():
         spark.conf.set(key, value)
+        _APPLIED[key] = value
     return conf
 
 
+#: Settings that size_for_input made itself; it may make them anew.
+_APPLIED: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, app_name: str = "gateflow",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None,
@@ -97,21 +98,22 @@ def apply_session_defaults(spark: SparkSession) -> None:
     """Pin the settings results depend on (time zone) on an existing session."""
     spark.conf.set("spark.sql.session.timeZone",
                    spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a private
-    temporary folder is created and registered, so later calls agree.
+    The cluster names it.  A local session (one machine, as in tests) that
+    names none gets a private temporary folder, so later calls agree; on a
+    cluster a machine-local folder would be lost, so that is an error.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gateflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:

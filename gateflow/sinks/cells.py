@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.time import jvm_timestamp_text
 
 # --- fixed values: row-key layouts and qualifiers of the studied tables -----
-# line_statistics:    "<Timestamp.toString>_<line>", family cf
-# station_statistics: "<Timestamp.toString>_<line>_<station>", family cf
-# inout_line_stats:   "<yyyy-MM-dd HH:mm>-<line>", family stats
-# inout_station_stats:"<yyyy-MM-dd HH:mm>-<line>-<station>", family stats
+# lines:           "<Timestamp.toString>_<line>", family cf
+# stations:        "<Timestamp.toString>_<line>_<station>", family cf
+# in/out lines:    "<yyyy-MM-dd HH:mm>-<line>", family stats
+# in/out stations: "<yyyy-MM-dd HH:mm>-<line>-<station>", family stats
 LINE_QUALIFIERS = ("time", "line_id", "total_flow", "exit_count", "entry_count")
 STATION_QUALIFIERS = ("time", "line_id", "station_id", "total_flow", "exit_count", "entry_count")
 INOUT_QUALIFIERS = ("in_count", "out_count", "total_count")

@@ -10,13 +10,18 @@ instead of sending a whole day to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 NO_SUCCESS_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
 def write_by_day(df: DataFrame, path: str, fmt: str = "parquet", day_col: str = "service_date",
-                 success_marker: bool = False, header: bool = True) -> None:
+                 success_marker: bool = False, header: bool = True,
+                 empty_days: Iterable[str] = ()) -> None:
+    """Replace the days that ``df`` has, and clear ``empty_days``: days that
+    this run covers but for which it has no row."""
     writer = (df.hint("rebalance", day_col)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
@@ -27,12 +32,40 @@ def write_by_day(df: DataFrame, path: str, fmt: str = "parquet", day_col: str =
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.save(path)
+    drop_days(df.sparkSession, path, empty_days, day_col)
+
+
+def drop_days(spark: SparkSession, path: str, days: Iterable[str], day_col: str = "service_date") -> None:
+    """Delete the folders of these days."""
+    for day in days:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day_col}={day}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_daily_files(df: DataFrame, folder: str, day_col: str = "service_date") -> None:
+    """One headed CSV file ``record_<day>.csv`` a day, as the studied
+    input has it (the layout, not Spark, asks for a whole day in one file)."""
+    spark = df.sparkSession
+    (df.repartition(day_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .option("header", True).options(**NO_SUCCESS_MARKER).partitionBy(day_col).csv(folder))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(folder)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in fs.listStatus(top):
+        name = day.getPath().getName()
+        if name.startswith(f"{day_col}="):
+            for part in fs.listStatus(day.getPath()):
+                if part.getPath().getName().endswith(".csv"):
+                    fs.rename(part.getPath(), hadoop.Path(f"{folder}/record_{name.split('=', 1)[1]}.csv"))
+            fs.delete(day.getPath(), True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by=None) -> None:
-    """Plain result-table write (report, rejects, analyses)."""
+                partition_by=None, empty_days: Iterable[str] = ()) -> None:
+    """Plain result-table write (report, rejects, analyses); ``empty_days``:
+    as for ``write_by_day``, for tables partitioned by ``service_date``."""
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.save(path)
+    drop_days(df.sparkSession, path, empty_days)

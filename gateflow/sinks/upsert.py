@@ -1,148 +1,174 @@
 """Keyed upsert into a file table, latest version wins.
 
 The studied programs send ``REPLACE INTO`` one row and one connection at a
-time from the driver, and HBase puts from ``collect()``.  Here an upsert is
-a distributed merge:
-
-1. read only the target partitions the update touches (semi join on the
-   partition column; AQE sees the tiny right side at run time),
-2. union with the update and keep, per key, the row with the highest
-   version (``max_by`` aggregates partially, so a hot key costs nothing
-   extra),
-3. write the merge to a staging folder in the shared folder named by the
-   batch id, then overwrite the touched partitions from it.
-
-Spark cannot overwrite a path it is reading, hence the staging copy.  The
-staging path is fixed per (table, version): a replayed micro-batch finds
-the finished staging copy and only repeats step 3 (or nothing, once the
-copy is marked applied), so replays never change the result.
+time from the driver, and HBase puts from ``collect()``.  Here a table is a
+set of update folders that are only ever added::
+
+    target/_base=0/_writer=<id>/_version=<n>/<partition columns>/part-*
+
+An upsert writes its rows once into the folder of its writer and version and
+reads nothing of the table.  A replay overwrites that folder with the same
+rows, whenever it comes, so a stop between or inside writes needs no repair.
+``read_table`` resolves the latest row of each key with ``max_by`` (partial
+aggregation, so a hot key costs nothing extra); the partition columns are part
+of the grouping, so a filter on them prunes folders in every update.
+
+Rows are ranked by writer, then version.  A stream's writer id is made when
+its checkpoint is, and starts with the time: it stays the same over restarts,
+and a new checkpoint, whose batch ids begin at 0 again, ranks above the old.
+``compact`` folds the updates into one folder when no stream is writing.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..session import shared_dir
+from pyspark.sql import types as T
 
 VERSION_COL = "_version"
-# Written into a staging folder once its rows are in the target.
-APPLIED_MARKER = "_APPLIED"
-
-
-def _fs_exists(spark: SparkSession, path: str, child: str | None = None) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path if child is None else f"{path.rstrip('/')}/{child}")
-    return p.getFileSystem(conf).exists(p)
-
-
-def _staging_path(spark: SparkSession, target: str, version) -> str:
-    tag = hashlib.sha1(target.encode()).hexdigest()[:16]
-    return f"{shared_dir(spark)}/upsert-staging/{tag}/v={version}"
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], version_col: str = VERSION_COL) -> DataFrame:
-    """One row per key: the one with the highest version."""
+WRITER_COL = "_writer"
+BASE_COL = "_base"
+#: The writer of plain loads; every stream's id ranks above it.
+LOADS = "0"
+TABLE_FILE = "_table.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that has this checkpoint: made at its first
+    start, kept beside the checkpoint's own files, the same after restarts."""
+    path = f"{checkpoint.rstrip('/')}/_writer_id"
+    known = _read_text(spark, path)
+    if known is None:
+        known = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        _write_text(spark, path, known)
+    return known
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (VERSION_COL,)) -> DataFrame:
+    """One row per key: the one that ranks highest."""
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, F.col(version_col)).alias("_row"))
+    agg = df.groupBy(*keys).agg(F.max_by(packed, F.struct(*order)).alias("_row"))
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def upsert(updates: DataFrame, target: str, keys: Sequence[str], version,
+def upsert(updates: DataFrame, target: str, keys: Sequence[str], version: int,
            partition_by: Sequence[str] = (), fmt: str = "parquet",
-           unique_keys: bool = False) -> None:
-    """Merge ``updates`` into the table at ``target`` (created if absent).
+           unique_keys: bool = False, writer: str = LOADS) -> None:
+    """Add ``updates`` to the table at ``target`` (created if absent).
 
-    ``version`` orders competing rows for one key (a batch id, a load
-    time); rows of one call share it.  Existing rows keep their own.  A
-    version names one immutable update: calling again with the same version
-    is treated as a replay of it.
+    ``writer`` and ``version`` order competing rows for one key and name one
+    immutable update: calling again with both the same is a replay of it.  Of
+    rows of one call with equal keys one is kept.  Partition columns must
+    follow from the key (its day, its hour); their values may be NULL.
     ``unique_keys`` states that ``updates`` has one row per key (an
-    aggregation's output), which saves a shuffle on the first load."""
+    aggregation's output), which saves a shuffle."""
     spark = updates.sparkSession
-    cols = list(updates.columns)
-    upd = updates.withColumn(VERSION_COL, F.lit(version).cast("bigint"))
-
-    if not _fs_exists(spark, target):
-        # First load: nothing to merge with.  The commit protocol makes the
-        # write all-or-nothing; a replay after it finds the table and merges
-        # the same rows again, which changes nothing.
-        first = upd if unique_keys else latest_per_key(upd, keys)
-        _write(first.select(*cols, VERSION_COL), target, partition_by, fmt)
-        return
+    about = {"keys": list(keys), "partition_by": list(partition_by), "fmt": fmt,
+             "schema": json.loads(updates.schema.json())}
+    if _read_text(spark, f"{target}/{TABLE_FILE}") is None:
+        _write_text(spark, f"{target}/{TABLE_FILE}", json.dumps(about))
+    rows = updates if unique_keys else updates.dropDuplicates([*keys])
+    _write(rows.select(*updates.columns), _folder(target, 0, writer, version), partition_by, fmt)
 
-    # Read with the update's own schema: partition values keep their type
-    # (a "2019-01-05" folder name must not come back as a DATE).
-    schema = upd.select(*cols, VERSION_COL).schema
-    staging = _staging_path(spark, target, version)
-    if _fs_exists(spark, staging, APPLIED_MARKER):
-        return                                   # this version is already in
-    if not _fs_exists(spark, staging, "_SUCCESS"):
-        existing = spark.read.format(fmt).schema(schema).load(target)
-        if partition_by:
-            touched = upd.select(*partition_by).distinct()
-            existing = existing.join(touched, list(partition_by), "left_semi")
-        both = existing.select(*cols, VERSION_COL).unionByName(upd.select(*cols, VERSION_COL))
-        merged = latest_per_key(both, keys).select(*cols, VERSION_COL)
-        # Partitioned like the target but not rebalanced: it is read back and
-        # rebalanced once, on the final write.
-        _write(merged, staging, partition_by, fmt, success_marker=True, dynamic=False,
-               rebalance=False)
-
-    staged = spark.read.format(fmt).schema(schema).load(staging).select(*cols, VERSION_COL)
-    _write(staged, target, partition_by, fmt)
-    _touch(spark, f"{staging}/{APPLIED_MARKER}")
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(conf).create(p, True).close()
-
-
-def _write(df: DataFrame, path: str, partition_by, fmt: str,
-           success_marker: bool = False, dynamic: bool = True, rebalance: bool = True) -> None:
-    if partition_by and rebalance:
-        # One file per partition value unless AQE finds it too large.
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format(fmt)
-    if success_marker:
-        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    if partition_by:
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+
+def _folder(target: str, base: int, writer: str, version: int) -> str:
+    return f"{target.rstrip('/')}/{BASE_COL}={base}/{WRITER_COL}={writer}/{VERSION_COL}={int(version)}"
 
 
-def read_table(spark: SparkSession, target: str, fmt: str = "parquet",
-               keep_version: bool = False, schema=None) -> DataFrame:
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.load(target)
-    return df if keep_version else df.drop(VERSION_COL)
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
+    if partition_by:
+        # One file per partition value unless AQE finds it too large.
+        df = df.hint("rebalance", *partition_by)
+    out = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    (out.partitionBy(*partition_by) if partition_by else out).save(path)
+
+
+def read_updates(spark: SparkSession, target: str) -> tuple[DataFrame, dict]:
+    """All rows of all updates with writer and version, and the table's
+    description."""
+    text = _read_text(spark, f"{target}/{TABLE_FILE}")
+    if text is None:
+        raise ValueError(f"no upsert table at {target}")
+    about = json.loads(text)
+    # The stored schema keeps the type of partition values: a "2019-01-05"
+    # folder name must not come back as a DATE.
+    schema = T.StructType.fromJson(about["schema"]).add(BASE_COL, T.IntegerType()).add(
+        WRITER_COL, T.StringType()).add(VERSION_COL, T.LongType())
+    return spark.read.format(about["fmt"]).schema(schema).load(target), about
+
+
+def read_table(spark: SparkSession, target: str, keep_version: bool = False) -> DataFrame:
+    """The latest row of each key."""
+    rows, about = read_updates(spark, target)
+    keys = list(dict.fromkeys([*about["keys"], *about["partition_by"]]))
+    latest = latest_per_key(rows.drop(BASE_COL), keys, (WRITER_COL, VERSION_COL))
+    names = [f["name"] for f in about["schema"]["fields"]]
+    return latest.select(*names, *([WRITER_COL, VERSION_COL] if keep_version else []))
+
+
+def compact(spark: SparkSession, target: str) -> None:
+    """Fold all updates into one base folder and delete them.  For tables that
+    no stream is writing to and no query reading from just now.  The base
+    ranks as the highest update that it holds, so a stop before all old
+    folders are deleted changes no result."""
+    rows, about = read_updates(spark, target)
+    top = rows.select(F.max(F.struct(WRITER_COL, VERSION_COL)).alias("m")).first()["m"]
+    if top is None:
+        return
+    old = [r[0] for r in rows.select(BASE_COL, WRITER_COL, VERSION_COL).distinct().select(F.struct("*")).collect()]
+    # A base that another one replaces has its own rank, below any newer update.
+    base = 1 + max(r[BASE_COL] for r in old)
+    _write(read_table(spark, target), _folder(target, base, top[WRITER_COL], top[VERSION_COL]),
+           about["partition_by"], about["fmt"])
+    for r in old:
+        fs, p = _fs(spark, _folder(target, r[BASE_COL], r[WRITER_COL], r[VERSION_COL]))
+        fs.delete(p, True)
 
 
 def upsert_batch_writer(target: str, keys: Sequence[str], partition_by: Sequence[str] = (),
-                        fmt: str = "parquet", unique_keys: bool = True):
-    """A ``foreachBatch`` function merging each micro-batch,
+                        fmt: str = "parquet", unique_keys: bool = True, writer: str = LOADS):
+    """A ``foreachBatch`` function adding each micro-batch,
     with the batch id as version.  Nothing is collected to the driver; an
     empty batch is skipped with a cheap emptiness probe."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         # Persist before the first action, so the (stateful) batch plan
-        # runs once for the probe and the merge together.
+        # runs once for the probe and the write together.
         batch_df.persist()
         try:
             if not batch_df.isEmpty():
-                upsert(batch_df, target, keys, batch_id, partition_by, fmt, unique_keys)
+                upsert(batch_df, target, keys, batch_id, partition_by, fmt, unique_keys, writer)
         finally:
             batch_df.unpersist()
 

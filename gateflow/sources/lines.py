@@ -34,7 +34,7 @@ def to_line(df: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
 
 
 def _fields(value: Column) -> Column:
-    return F.split(F.regexp_replace(value, ",+$", ""), ",")
+    return F.split(F.rtrim(value, F.lit(",")), ",")
 
 
 def parse_strict(lines: DataFrame, value_col: str = "value", keep=(),
@@ -127,6 +127,25 @@ def strict_rejects(lines: DataFrame, value_col: str = "value", keep=(),
     return _flatten(parse_strict(lines, value_col, keep, time_pattern), False, cols)
 
 
+def _with_minute(lines: DataFrame, value_col: str, keep) -> DataFrame:
+    """The lax parse plus ``minute_ts``; a minute that is no time is a reject."""
+    parsed = parse_lax(lines, value_col, keep)
+    ts = parse_time(F.concat(F.col("minute"), F.lit(":00")))
+    reason = F.coalesce(F.col("reject_reason"), F.when(ts.isNull(), F.lit("bad_minute")))
+    return parsed.withColumn("minute_ts", ts).withColumn("reject_reason", reason).withColumn(
+        "is_valid", reason.isNull())
+
+
+def minute_records(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
+    """The lax rows whose minute is a time (``minute_ts``)."""
+    return _flatten(_with_minute(lines, value_col, keep), True, [*keep, *LAX_RECORD_COLUMNS, "minute_ts"])
+
+
+def minute_rejects(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
+    """The messages that ``minute_records`` leaves out, with the reason."""
+    return _flatten(_with_minute(lines, value_col, keep), False, [*keep, "raw", "reject_reason"])
+
+
 def lax_records(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     """The rows the hand-written consumer counts."""
     return _flatten(parse_lax(lines, value_col, keep), True, [*keep, *LAX_RECORD_COLUMNS])

@@ -25,14 +25,11 @@ def text_line_stream(spark: SparkSession, folder: str,
 def events_line_stream(spark: SparkSession, sf_dir: str, faults: bool = True,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """The ``events`` table read as a file stream and encoded as messages."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema          # footer only
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", "events.parquet"))
+    folder = sf_dir.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema          # footer only
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(sf_dir).select("event_id", "ts", "user_id")
-    # One small file is one task per micro-batch; spread it over the cores
-    # (a message bus would use its own partitions, e.g. Kafka minPartitions).
-    events = events.repartition(spark.sparkContext.defaultParallelism)
+    # As a pattern the path may be one file or a folder of parts.
+    events = reader.parquet(f"{folder}/event[s].parquet").select("event_id", "ts", "user_id")
     return to_line(raw_swipes(events, faults))

@@ -10,6 +10,7 @@ groups leave the state store once the watermark passes the window end.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
-from ..sinks.upsert import VERSION_COL, read_table, upsert, upsert_batch_writer
+from ..sinks.upsert import read_table, upsert, upsert_batch_writer, writer_id
 from ..functions.labels import station_key
 from ..functions.time import parse_time
-from ..sources.lines import lax_records, strict_records, strict_rejects
+from ..sources.lines import minute_records, minute_rejects, strict_records, strict_rejects
 
 # --- fixed values: stream settings of the studied consumer ------------------
 WATERMARK_DELAY = "1 minute"
@@ -38,8 +39,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 LINE_KEYS = ("lineID",)
 # Sink tables are partitioned by the day of the window start.  A long-running
-# stream whose micro-batches cover minutes should pass HOURLY_PARTITIONS, so an
-# update rewrites one hour instead of one day; a back-fill of many days in
+# stream whose micro-batches cover minutes takes HOURLY_PARTITIONS, so that a
+# reader of the last hours opens those only; a back-fill of many days in
 # one batch is faster with day partitions (fewer, larger files).
 SINK_PARTITIONS = ["day"]
 HOURLY_PARTITIONS = ["day", "hour"]
@@ -68,8 +69,7 @@ def rejected_records(lines: DataFrame) -> DataFrame:
 def windowed_minute_flow(records: DataFrame, keys: Sequence[str] = LINE_KEYS,
                          watermark: str = WATERMARK_DELAY) -> DataFrame:
     """1-minute tumbling counts per key with a watermark.
-    ``day`` and ``hour`` are carried for partitioning the sink: an update
-    rewrites one hour of one day, not the whole day."""
+    ``day`` and ``hour`` are carried for partitioning the sink."""
     minute = F.date_trunc("minute", F.col("event_ts"))
     df = records.withColumn("minute", minute).withWatermark("minute", watermark)
     agg = (df.groupBy(F.window("minute", WINDOW_LENGTH), *keys)
@@ -82,9 +82,13 @@ def windowed_minute_flow(records: DataFrame, keys: Sequence[str] = LINE_KEYS,
                       F.date_format(F.col("window.start"), "HH").alias("hour"))
 
 
-def checkpoint_location(spark: SparkSession, query_name: str, run_id: str | None = None) -> str:
+def checkpoint_location(spark: SparkSession, query_name: str, run_id: str | None = None,
+                        target: str | None = None) -> str:
+    """A query's checkpoint folder under the shared folder.  ``target`` keeps
+    queries of one name that write to different tables apart."""
+    tag = hashlib.sha1(target.encode()).hexdigest()[:16] if target else run_id
     base = f"{shared_dir(spark)}/streams/{query_name}"
-    return base if run_id is None else f"{base}/{run_id}"
+    return base if tag is None else f"{base}/{tag}"
 
 
 def start_minute_flow(lines: DataFrame, target: str, keys: Sequence[str] = LINE_KEYS,
@@ -98,12 +102,14 @@ def start_minute_flow(lines: DataFrame, target: str, keys: Sequence[str] = LINE_
     has closed it (T11)."""
     spark = lines.sparkSession
     flow = windowed_minute_flow(parsed_records(lines), keys, watermark)
-    writer = upsert_batch_writer(target, ["minute", *keys], partition_by=partition_by)
+    checkpoint = checkpoint or checkpoint_location(spark, query_name, target=target)
+    writer = upsert_batch_writer(target, ["minute", *keys], partition_by=partition_by,
+                                 writer=writer_id(spark, checkpoint))
     trig = trigger or {"processingTime": "0 seconds"}
     return (flow.writeStream
                 .queryName(query_name)
                 .outputMode(output_mode)
-                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
+                .option("checkpointLocation", checkpoint)
                 .foreachBatch(writer)
                 .trigger(**trig)
                 .start())
@@ -119,12 +125,12 @@ def line_rollup(stations: DataFrame) -> DataFrame:
 
 
 def rollup_writer(station_target: str, line_target: str, station_keys, line_keys, rollup,
-                  from_batch: bool = False, partition_by=SINK_PARTITIONS):
+                  from_batch: bool = False, partition_by=SINK_PARTITIONS, writer: str = "0"):
     """``foreachBatch`` for T8 with one source read: upsert the changed
     station windows, then rebuild the line rows of the touched minutes from
     the station table (all stations of those minutes, also ones unchanged in
-    this batch) and upsert them.  A replay skips the applied station upsert
-    and recomputes the same line rows.
+    this batch) and upsert them.  Only the touched partitions of the station
+    table are read, by their values.  A replay writes the same rows again.
 
     ``from_batch``: in append mode a closed minute leaves the state store
     with all its keys in one micro-batch, so its line rows come from the
@@ -137,16 +143,16 @@ def rollup_writer(station_target: str, line_target: str, station_keys, line_keys
             if batch_df.isEmpty():
                 return
             upsert(batch_df, station_target, list(station_keys), batch_id, partition_by,
-                   unique_keys=True)
+                   unique_keys=True, writer=writer)
             if from_batch:
                 stations = batch_df
             else:
-                schema = batch_df.withColumn(VERSION_COL, F.lit(0).cast("bigint")).schema
-                touched = batch_df.select(*partition_by, "minute").distinct()
-                stations = (read_table(spark, station_target, schema=schema)
-                            .join(touched, [*partition_by, "minute"], "left_semi"))
+                # The days of one micro-batch (a few) prune the station table's folders.
+                days = [r[0] for r in batch_df.select("day").distinct().collect()]
+                stations = (read_table(spark, station_target).where(F.col("day").isin(days))
+                            .join(batch_df.select("minute").distinct(), "minute", "left_semi"))
             upsert(rollup(stations), line_target, list(line_keys), batch_id, partition_by,
-                   unique_keys=True)
+                   unique_keys=True, writer=writer)
         finally:
             batch_df.unpersist()
 
@@ -154,9 +160,9 @@ def rollup_writer(station_target: str, line_target: str, station_keys, line_keys
 
 
 def station_and_line_writer(station_target: str, line_target: str, from_batch: bool = False,
-                            partition_by=SINK_PARTITIONS):
+                            partition_by=SINK_PARTITIONS, writer: str = "0"):
     return rollup_writer(station_target, line_target, ["minute", *STATION_KEYS],
-                         ["minute", *LINE_KEYS], line_rollup, from_batch, partition_by)
+                         ["minute", *LINE_KEYS], line_rollup, from_batch, partition_by, writer)
 
 
 def start_station_and_line_flow(lines: DataFrame, station_target: str, line_target: str,
@@ -170,24 +176,29 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
     spark = lines.sparkSession
     flow = windowed_minute_flow(parsed_records(lines), STATION_KEYS, watermark)
     trig = trigger or {"processingTime": "0 seconds"}
+    checkpoint = checkpoint or checkpoint_location(spark, query_name, target=station_target)
     return (flow.writeStream
                 .queryName(query_name)
                 .outputMode(output_mode)
-                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
+                .option("checkpointLocation", checkpoint)
                 .foreachBatch(station_and_line_writer(station_target, line_target,
                                                       from_batch=output_mode == "append",
-                                                      partition_by=partition_by))
+                                                      partition_by=partition_by,
+                                                      writer=writer_id(spark, checkpoint)))
                 .trigger(**trig)
                 .start())
 
 
-def windowed_inout_flow(lax: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+# The hand-written consumer saves a minute when the next one arrives.
+INOUT_WATERMARK = "0 seconds"
+
+
+def windowed_inout_flow(records: DataFrame, watermark: str = INOUT_WATERMARK) -> DataFrame:
     """K8/T11 with the hand-written consumer's counting rule (G15): per
     minute key and station, in = status "1", out = status "0", total =
-    in + out.  The minute key text becomes the event time (P21)."""
-    minute = parse_time(F.concat(F.col("minute"), F.lit(":00")))
-    df = (lax.withColumn("minute_ts", minute).filter(F.col("minute_ts").isNotNull())
-             .withWatermark("minute_ts", watermark))
+    in + out.  ``records``: from ``minute_records``; messages whose minute is
+    no time are in ``minute_rejects`` (``start_inout_rejects``)."""
+    df = records.withWatermark("minute_ts", watermark)
     s = F.col("status")
     agg = (df.groupBy(F.window("minute_ts", WINDOW_LENGTH), "lineID", "stationID")
              .agg(F.count_if(s == "1").alias("in_count"), F.count_if(s == "0").alias("out_count")))
@@ -210,23 +221,25 @@ def inout_line_rollup(stations: DataFrame) -> DataFrame:
 def start_inout_flow(lines: DataFrame, station_target: str, line_target: str,
                      output_mode: str = "append", query_name: str = "inout_flow",
                      checkpoint: str | None = None, trigger: dict | None = None,
-                     watermark: str = WATERMARK_DELAY,
+                     watermark: str = INOUT_WATERMARK,
                      partition_by=SINK_PARTITIONS) -> StreamingQuery:
     """The hand-written consumer as one query: lax parse, a minute is saved
-    with all its keys once it is complete (append), line rows rolled up
+    with all its keys once the next one arrives (append), line rows rolled up
     from the station rows of the same minutes."""
     spark = lines.sparkSession
-    flow = windowed_inout_flow(lax_records(lines), watermark)
+    flow = windowed_inout_flow(minute_records(lines), watermark)
     trig = trigger or {"processingTime": "0 seconds"}
+    checkpoint = checkpoint or checkpoint_location(spark, query_name, target=station_target)
     return (flow.writeStream
                 .queryName(query_name)
                 .outputMode(output_mode)
-                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
+                .option("checkpointLocation", checkpoint)
                 .foreachBatch(rollup_writer(station_target, line_target,
                                             ["minute", "lineID", "stationID"], ["minute", "lineID"],
                                             inout_line_rollup,
                                             from_batch=output_mode == "append",
-                                            partition_by=partition_by))
+                                            partition_by=partition_by,
+                                            writer=writer_id(spark, checkpoint)))
                 .trigger(**trig)
                 .start())
 
@@ -235,15 +248,27 @@ def start_rejects(lines: DataFrame, target: str, query_name: str = "stream_rejec
                   checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Rejected messages to their own append-only file table (the
     file sink's log makes replays exactly-once)."""
-    spark = lines.sparkSession
-    trig = trigger or {"processingTime": "0 seconds"}
-    return (rejected_records(lines).writeStream
+    return _append(rejected_records(lines), target, query_name, checkpoint, trigger)
+
+
+def start_inout_rejects(lines: DataFrame, target: str, query_name: str = "inout_rejects",
+                        checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """T13 for the hand-written consumer: messages that its lax parse skips
+    and those whose minute is no time, so that saved rows, rejects and the
+    open minute together are all messages."""
+    return _append(minute_rejects(lines), target, query_name, checkpoint, trigger)
+
+
+def _append(rows: DataFrame, target: str, query_name: str, checkpoint: str | None,
+            trigger: dict | None) -> StreamingQuery:
+    return (rows.writeStream
                 .queryName(query_name)
                 .outputMode("append")
                 .format("parquet")
                 .option("path", target)
-                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name))
-                .trigger(**trig)
+                .option("checkpointLocation",
+                        checkpoint or checkpoint_location(rows.sparkSession, query_name, target=target))
+                .trigger(**(trigger or {"processingTime": "0 seconds"}))
                 .start())
 
 
@@ -253,25 +278,26 @@ def await_all(spark: SparkSession, queries: Sequence[StreamingQuery],
     raised (waiting on one query after another would hide a failure of the
     second while the first runs)."""
     pending = list(queries)
-    while pending:
-        for q in list(pending):
-            q.awaitTermination(poll_seconds)
-            if q.isActive:
-                continue
-            pending.remove(q)
-            if q.exception() is not None:
-                for other in pending:
-                    other.stop()
-                raise q.exception()
-
-
-def console_batch_writer(keys: Sequence[str], rows: int = 100):
-    """Print each micro-batch's per-key totals in key order (a
-    bounded ``show``, for watching a stream by hand)."""
+    try:
+        while pending:
+            for q in list(pending):
+                q.awaitTermination(poll_seconds)        # raises if the query has failed
+                if not q.isActive:
+                    pending.remove(q)
+    finally:
+        for other in pending:
+            other.stop()
+
+
+def console_batch_writer(keys: Sequence[str]):
+    """Print every row of each micro-batch's per-key totals in key
+    order, one partition of them at a time."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         print(f"batch {batch_id}")
-        batch_df.orderBy(*keys).show(rows, truncate=False)
+        print("|".join(batch_df.columns))
+        for row in batch_df.orderBy(*keys).toLocalIterator():
+            print("|".join(map(str, row)))
 
     return write
 
