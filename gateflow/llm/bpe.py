@@ -60,6 +60,14 @@ class WordBPE:
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Characters that the file's library takes as white space.
     SPACE = "\t-\r \x85\xa0  -     　"
+    # Code points that are letters or digits since Unicode 17, and neither
+    # in the version (16) that the file's library follows; in hexadecimal, with ranges.
+    NEWER = """
+        558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+        10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8
+        16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128
+        1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED
+        1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"""
     NONE = np.int64(1 << 40)
 
     def __init__(self, path: str):
@@ -89,6 +97,12 @@ class WordBPE:
         self.inner = np.array([vocab[c] for c in shown], dtype=np.int64)
         self.last = np.array([vocab[c + end] for c in shown], dtype=np.int64)
         self.split = regex.compile(self.SPLIT.replace(r"\s", self.SPACE))
+        newer = "".join("-".join(chr(int(x, 16)) for x in r.split("-")) for r in self.NEWER.split())
+        self.newer = regex.compile(f"[{newer}]")
+        self.split_newer = regex.compile(
+            "(?V1)" + self.SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{newer}]]").replace(
+                r"[\p{L}]", rf"[\p{{L}}--[{newer}]]").replace(r"[\p{N}]", rf"[\p{{N}}--[{newer}]]").replace(
+                r"\s", self.SPACE))
         self.split_space = regex.compile(f"[{self.SPACE}]+")
         self.control = re.compile("[\x1c-\x1f]")
         self.special = re.compile("(" + "|".join(re.escape(x) for x in self.added) + ")")
@@ -113,6 +127,11 @@ class WordBPE:
             out.extend([part] if k % 2 else self._runs(_normal(part)))
         return out
 
+    def words(self, piece: str) -> list[str]:
+        if not piece.isascii() and self.newer.search(piece):
+            return self.split_newer.findall(piece)
+        return self.split.findall(piece)
+
     def _runs(self, text: str) -> list[str]:
         # str.split() also splits at four control characters that are no white space here.
         runs = text.split()
@@ -173,7 +192,7 @@ class WordBPE:
         new, self.place.new = self.place.new, []
         if not new:
             return
-        words = [self.split.findall(x.removeprefix(_APART)) for x in new]
+        words = [self.words(x.removeprefix(_APART)) for x in new]
         part = np.array([self.word[w] for x in words for w in x], dtype=np.int64)
         fresh, self.word.new = self.word.new, []
         ids, size = self.merge([w.encode("utf-8", "surrogatepass") for w in fresh])
@@ -204,9 +223,18 @@ class WordBPE:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+# Capital letters that have small ones since Unicode 16.
+_NEWER_CASE = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+               **{c: c + 32 for c in range(0x10D50, 0x10D66)}}
+_NEWER_CAPITAL = re.compile("[" + "".join(map(chr, _NEWER_CASE)) + "]")
+
+
 def _normal(text: str) -> str:
-    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-        text = unicodedata.normalize("NFC", text)
+    if not text.isascii():
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if _NEWER_CAPITAL.search(text):
+            text = text.translate(_NEWER_CASE)
     # Each character is lowered by itself; str.lower() alone would look at a sigma's place.
     return text.replace("Σ", "σ").lower()
 
