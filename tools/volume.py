@@ -75,6 +75,19 @@ def main() -> None:
                      ("paytype_distribution", flows.paytype_distribution)]:
         timed(f"{name} (clean layer)", noop(fn(t)))
     timed("week_comparison (clean layer)", noop(flows.week_comparison(t, P)))
+    timed("rejects (one grouping)", noop(quality.rejects(raw, P)))
+    from gateflow.sinks.upsert import compact, read_table, upsert
+    from gateflow.sources.lines import strict_records, to_line
+    from gateflow.operators.minute import minute_flow_station
+
+    # Upserts of the largest result table: stations by minute, in two versions.
+    stations = minute_flow_station(strict_records(to_line(raw))).withColumn(
+        "day", F.date_format("minute", "yyyy-MM-dd"))
+    for version in (1, 2):
+        timed(f"upsert station minutes, version {version}", lambda v=version: upsert(
+            stations, f"{out}/stations", ["minute", "lineID", "stationID"], v, ["day"], unique_keys=True))
+    timed("read one day of the table", noop(read_table(spark, f"{out}/stations").where("day = '2024-01-03'")))
+    timed("compact the table", lambda: compact(spark, f"{out}/stations"))
     spark.stop()
 
 
