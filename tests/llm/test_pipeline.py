@@ -21,7 +21,7 @@ def test_run_equals_brute_force(spark):
     con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
     passed = {r[0] for r in con.execute(f"select doc_id from ({oracle.OP9}) where kept").fetchall()}
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.doc_id in passed)
-    # Only texts that share a first or a late word can be near copies here; classes by brute force.
+    # Classes by brute force over the words that the operator compares.
     roots = brute_classes([" ".join(decontam.words_of(t)) for _, t in docs])
     docs = [d for k, d in enumerate(docs) if roots[k] == k]
     items = [decontam.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
