@@ -40,8 +40,8 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def blocks(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into pieces of about BLOCK_CHARS of the column
+def blocks(batches: Iterable[pa.RecordBatch], text: int, chars: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into pieces of about ``chars`` of the column
     number ``text`` (at least one row each)."""
     for batch in batches:
         if not batch.num_rows:
@@ -52,7 +52,7 @@ def blocks(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + BLOCK_CHARS, "right")))
+            to = max(at + 1, int(np.searchsorted(ends, base + chars, "right")))
             yield batch.slice(at, to - at)
             at = to
 

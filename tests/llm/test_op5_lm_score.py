@@ -71,3 +71,24 @@ def test_odd_rows(spark, docs):
     assert lm_score.score(docs([]), none, F.col("quality") == 1).count() == 0
     many = spark.createDataFrame([(i, 1) for i in range(50)], LABELS)
     assert len(lm_score.target_ids(many, F.col("quality") == 1, rows=10)) == 10
+
+
+def test_counts_are_exact_beyond_the_old_cells(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    pairs, words = Counter(), Counter()
+    for r in d.collect():
+        flat = [0, *word_hashes([r.text or ""], symbols=True)[0].tolist(), 0]
+        pairs.update(zip(flat, flat[1:]))
+        words.update(flat[1:])
+    rows = lm_score.counts(d, np.zeros(0, dtype=np.int64)).collect()
+    assert sorted(r.n for r in rows if r.key % 2) == sorted(pairs.values())
+    assert sorted(r.n for r in rows if r.key % 2 == 0) == sorted(words.values())
+
+
+def test_every_good_label_is_a_target(spark):
+    docs = spark.range(21_000).selectExpr("id as doc_id", "'a' as text")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    rows = lm_score.score(docs, labels, F.col("quality") == 1).collect()
+    assert len(rows) == 21_000 and all(r.score == 0 for r in rows)
+    cut = lm_score.packed(docs, lm_score.targets(labels, F.col("quality") == 1))
+    assert lm_score._buckets(cut)[1] == (42_000, 42_000)
