@@ -5,7 +5,9 @@ streamed through it word by word, which gives at each word the longest run
 ending there that some template holds (the matching statistics).  Places of
 phrases are read off the automaton's states.  Runs of at least LEAST_RUN words
 are chained, in order in the text and in the template, into covered template
-spans; a template covered to LEAST_COVER gives its label.
+spans.  A template covered to LEAST_COVER (SHORT_COVER, if it is short) gives
+its label where the span holds the name and version that tell it from its
+neighbours, and no other label covers the same place better.
 
 Words are runs of digits, letters a-z and non-ASCII characters, after A-Z are
 lower-cased.  The score is the largest covered share of any template, 0 to 1.
@@ -27,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gateflow.llm.common import blocks, ship, text_of
-from gateflow.llm.license_texts import PHRASES, TEMPLATES
+from gateflow.llm.license_texts import NEEDS, PHRASES, TEMPLATES
 
 ship(__name__)
 
 LEAST_RUN = 3
 LEAST_COVER = 0.6
+#: Templates of fewer than SHORT words must be covered to SHORT_COVER.
+SHORT, SHORT_COVER = 30, 0.85
 #: Words that may lie between two runs of one chain, in text and template.
 MOST_GAP = 8
 
@@ -54,6 +58,9 @@ class Automaton:
         self.ends: list[list[tuple[int, int]]] = [[]]
         self.templates = [(label, words_of(t)) for label, t in templates]
         self.phrases = [(label, words_of(t)) for label, t in phrases]
+        #: The phrases that a span of each template must hold.
+        self.needs = [[f" {x} " for x in NEEDS.get(label, ()) if f" {x} " in f" {' '.join(ws)} "]
+                      for label, ws in self.templates]
         for k, (_, ws) in enumerate(self.templates + self.phrases):
             last = 0
             for i, w in enumerate(ws):
@@ -167,17 +174,40 @@ ROW = ("n_words long, n_base long, first_word long, last_word long, base_labels
        "labels array<string>, score double, spans array<struct<label:string,start:int,end:int,cover:double>>")
 
 
+def strongest(words: list[str], found: Automaton, chained) -> list[tuple[str, int, int, float]]:
+    """The spans (label, start, end, cover) that give their labels."""
+    spans = []
+    for k, c, a, b, n in chained:
+        if c / n >= (SHORT_COVER if n < SHORT else LEAST_COVER):
+            said = f" {' '.join(words[a:b])} "
+            if all(x in said for x in found.needs[k]):
+                spans.append((found.templates[k][0], a, b, min(1.0, c / n)))
+    out, near = [], []
+    for s in sorted(spans, key=lambda s: s[1]):
+        near = [t for t in near if t[2] > s[1]] + [s]
+        out.append((s, near[:-1]))
+    beaten = set()
+    for s, others in out:
+        for t in others:
+            common = 2 * (min(s[2], t[2]) - s[1])
+            if s[0] != t[0] and s[3] != t[3]:
+                less = min(s, t, key=lambda x: x[3])
+                if common > less[2] - less[1]:
+                    beaten.add(less)
+    return [s for s in spans if s not in beaten]
+
+
 def examine(text: str, found: Automaton) -> dict:
     words = words_of(text)
     places, runs = found.stream(words)
-    spans = [(found.templates[k][0], a, b, min(1.0, c / n)) for k, c, a, b, n in found.chains(runs)]
+    chained = found.chains(runs)
     base = {found.phrases[k][0] for _, k in places}
-    strong = [s for s in spans if s[3] >= LEAST_COVER]
+    strong = strongest(words, found, chained)
     starts = [i for i, _ in places]
     return {
         "n_words": len(words), "n_base": len(places), "first_word": min(starts, default=None),
         "last_word": max(starts, default=None), "base_labels": sorted(base),
-        "labels": sorted(base | {s[0] for s in strong}), "score": max((s[3] for s in spans), default=0.0),
+        "labels": sorted(base | {s[0] for s in strong}), "score": max((min(1.0, c / n) for _, c, _, _, n in chained), default=0.0),
         "spans": [dict(zip(("label", "start", "end", "cover"), s)) for s in sorted(strong, key=lambda s: (s[1], s[2], s[0]))]}
 
 

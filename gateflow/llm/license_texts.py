@@ -23,7 +23,41 @@ option) any later version."""),
     ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
 that the following conditions are met:"""),
     ("mpl-2", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."""),
+    ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    *((label, f"This work is licensed under a Creative Commons {name} {version} License.")
+      for label, name in (("cc-by", "Attribution"), ("cc-by-sa", "Attribution-ShareAlike"),
+                          ("cc-by-nd", "Attribution-NoDerivatives"), ("cc-by-nc", "Attribution-NonCommercial"),
+                          ("cc-by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+                          ("cc-by-nc-nd", "Attribution-NonCommercial-NoDerivatives"))
+      for version in ("4.0 International", "3.0 Unported") if label not in ("cc-by", "cc-by-nc") or version[0] == "3"),
+    *((label, f"This work is licensed under the GNU {name}General Public License, version {version}.")
+      for label, name, version in (("gpl-2", "", "2"), ("lgpl-2.1", "Lesser ", "2.1"), ("lgpl-3", "Lesser ", "3"),
+                                   ("agpl-3", "Affero ", "3"))),
+    *((label, f"""This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+{name}General Public License as published by the Free Software Foundation, either version {version} of the License, or
+(at your option) any later version.""")
+      for label, name, version in (("gpl-2", "", "2"), ("lgpl-2.1", "Lesser ", "2.1"), ("lgpl-3", "Lesser ", "3"),
+                                   ("agpl-3", "Affero ", "3"))),
 ]
+# The name and version that tell a licence from its neighbours.  A
+# span must hold those of its label that its template holds.
+NEEDS: dict[str, list[str]] = {
+    "mit": ["mit license"],
+    "apache-2": ["apache license version 2"],
+    "mpl-2": ["mozilla public license v 2"],
+    "cc-by": ["cc by 4 0", "attribution 4 0", "attribution 3 0"],
+    "cc-by-sa": ["cc by sa", "attribution sharealike"],
+    "cc-by-nd": ["attribution noderivatives"],
+    "cc-by-nc": ["cc by nc 4 0", "attribution noncommercial 4 0", "attribution noncommercial 3 0"],
+    "cc-by-nc-sa": ["attribution noncommercial sharealike"],
+    "cc-by-nc-nd": ["attribution noncommercial noderivatives"],
+    "gpl-2": ["gnu general public license", "version 2"],
+    "gpl-3": ["gnu general public license", "version 3"],
+    "lgpl-2.1": ["gnu lesser general public license", "version 2 1"],
+    "lgpl-3": ["gnu lesser general public license", "version 3"],
+    "agpl-3": ["gnu affero general public license", "version 3"],
+}
 # Phrases whose places are counted, and their labels.
 PHRASES: list[tuple[str, str]] = [
     ("mit", "under the mit license"),

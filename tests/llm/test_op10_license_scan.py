@@ -74,3 +74,21 @@ def test_odd_rows(docs):
         if r.doc_id is not None:
             assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
     assert license_scan.digests(license_scan.scan(docs([]))).count() == 0
+
+
+def test_neighbours_are_told_apart():
+    found = license_scan.Automaton()
+
+    def labels(t):
+        return license_scan.examine(t, found)["labels"]
+
+    assert labels("The film was released under the title X") == labels("Released under the GPL") == []
+    work = "This work is licensed under "
+    assert labels(work + "the GNU General Public License, version 2.") == ["gpl-2"]
+    assert labels(work + "the GNU General Public License, version 3.") == ["gpl-3"]
+    assert labels(work + "a Creative Commons Attribution-ShareAlike 4.0 International License.") == ["cc-by-sa"]
+    header = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}
+    General Public License as published by the Free Software Foundation; either version {} of the License, or (at your
+    option) any later version."""
+    for name, version, label in (("", 2, "gpl-2"), ("", 3, "gpl-3"), ("Lesser", 2.1, "lgpl-2.1"), ("Affero", 3, "agpl-3")):
+        assert labels(header.format(name, version)) == [label]
