@@ -6,8 +6,10 @@ anchor has a deterministic parser that expands it to both sides and validates
 what it found; a parser never goes back behind the end of its last match.
 
 Kinds, in output order: email, ip, card and phone (the base kinds, leftmost
-and non-overlapping within a kind), then url and secret, which the anchors
-add.  Positions are code points, the end exclusive.
+and non-overlapping within a kind), then url, secret, account and iban, which
+the anchors add.  Behind the cues ``account`` and ``iban`` stands a number in
+groups, an account of 8 digits or more or an IBAN with right check digits, or
+else a secret.  Positions are code points, the end exclusive.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows give
 repeated results; a null id stays null; only the id and text columns are read;
@@ -16,6 +18,7 @@ an empty table gives an empty table; a text of any length is searched whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,7 +31,7 @@ from gateflow.llm.common import blocks, ship, text_of
 ship(__name__)
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "secret")
+KINDS = (*BASE_KINDS, "url", "secret", "account", "iban")
 DIGITS = frozenset("0123456789")
 ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 LABEL = ALNUM | {"-"}
@@ -36,8 +39,21 @@ LOCAL = LABEL | frozenset("._%+")
 PHONE = DIGITS | frozenset(" ().-")
 SECRET = ALNUM | frozenset("_-")
 SCHEMES = ("http://", "https://", "ftp://")
-CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "account", "iban")
+CUES = ("token", "secret", "password", "passwd", "api_key", "apikey")
+NUMBER_CUES = ("account", "iban")
 LEAST_SECRET = 12
+LEAST_ACCOUNT, MOST_ACCOUNT = 8, 30
+#: What may stand between a cue and its number.
+_BETWEEN = re.compile(r"""[ \t]*(?:(?:number|num|no|nr)\b\.?|#)?[ \t"']*(?:(?:is\b|[:=#])[ \t"']*)?""", re.I)
+_ACCOUNT = re.compile(r"[0-9]+(?:[ -][0-9]+)*(?![0-9A-Za-z])")
+_DATE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}$|[0-9]{2}-[0-9]{2}-[0-9]{4}$")
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ -]?[0-9A-Za-z]){11,30}")
+# The lengths of the registered countries' IBANs.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 "
+    "SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -52,6 +68,9 @@ def _automaton() -> ahocorasick.Automaton:
     for s in CUES:
         for x in (s, s.upper(), s.capitalize()):
             found.add_word(x, ("secret", len(x)))
+    for s in NUMBER_CUES:
+        for x in (s, s.upper(), s.capitalize()):
+            found.add_word(x, ("account", len(x)))
     found.make_automaton()
     return found
 
@@ -132,6 +151,35 @@ def _secret(t: str, i: int) -> tuple[int, int] | None:
     return i, end
 
 
+def _iban(t: str, i: int) -> int | None:
+    """The end of an IBAN from i on whose check digits are right, or None."""
+    if (m := _IBAN.match(t, i)) is None:
+        return None
+    want = IBAN_LENGTHS.get(m[0][:2].upper())
+    at = [k for k in range(i, m.end()) if t[k] in ALNUM]
+    for n in (want,) if want else range(len(at), 14, -1):
+        if n <= len(at):
+            end = at[n - 1] + 1
+            value = "".join(t[k] for k in at[:n]).upper()
+            if (end == len(t) or t[end] not in ALNUM) and int(
+                    "".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1:
+                return end
+    return None
+
+
+def _account(t: str, i: int) -> tuple[str, int, int] | None:
+    """Behind a cue: (kind, start, end) of an IBAN, an account number or a
+    secret."""
+    to = _BETWEEN.match(t, i).end()
+    if to > i or t[i:i + 1] in DIGITS:
+        if (end := _iban(t, to)) is not None:
+            return "iban", to, end
+        if (m := _ACCOUNT.match(t, to)) and not _DATE.match(m[0]) and (
+                LEAST_ACCOUNT <= sum(c in DIGITS for c in m[0]) <= MOST_ACCOUNT):
+            return "account", to, m.end()
+    return None if (span := _secret(t, i)) is None else ("secret", *span)
+
+
 def find(t: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """The spans (kind, start, end) of a text, by kind, then start."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -168,6 +216,10 @@ def find(t: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
                     end -= 1
                 if end > last + 1:
                     out["url"].append((i, end))
+        elif kind == "account":
+            if (met := _account(t, last + 1)) is not None and met[1] >= done[met[0]]:
+                out[met[0]].append(met[1:])
+                done[met[0]] = met[2]
         elif (span := _secret(t, last + 1)) is not None and span[0] >= done["secret"]:
             out["secret"].append(span)
             done["secret"] = span[1]

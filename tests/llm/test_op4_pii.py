@@ -67,3 +67,22 @@ def test_odd_rows(docs):
     masked = pii.redact(df)
     assert masked.columns == df.columns and masked.where("text is null").count() == 2
     assert pii.digests(pii.detect(docs([]))).count() == 0 and pii.redact(docs([])).count() == 0
+
+
+def test_accounts_and_ibans():
+    anchors = pii._automaton()
+
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in pii.find(t, anchors) if k in ("secret", "account", "iban")]
+
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert added(f"IBAN: {iban} and more") == added(f"account IBAN {iban}.") == [("iban", iban)]
+    assert added("IBAN DE89370400440532013000") == [("iban", "DE89370400440532013000")]
+    assert added("iban no. GB82-WEST-1234-5698-7654-32") == [("iban", "GB82-WEST-1234-5698-7654-32")]
+    assert added("IBAN: DE88 3704 0044 0532 0130 00") == []
+    assert added("account number 12345678") == added("Account: 12345678") == [("account", "12345678")]
+    assert added("account no. 1234 5678-90, so") == [("account", "1234 5678-90")]
+    assert added("account: abc123def456789") == [("secret", "abc123def456789")]
+    assert added("account 1234567") == added("accounts of 12345678") == added("account 2019-01-02") == []
+    t = f"IBAN: {iban}, account number 12345678"
+    assert pii.masked(t, pii.find(t, anchors)) == "IBAN: [IBAN], account number [ACCOUNT]"
