@@ -6,7 +6,9 @@ readers) are cut off by tag, role or class name.  For every remaining node the
 composite density relates its characters to its tags, weakened by the share of
 link text; a node's density sum adds up its children's densities.  The subtree
 with the largest sum is the content, the least density on its path to the body
-being the threshold for what stands beside that path (headings there need none).
+being the threshold for what stands beside that path, runs of bare text included
+(headings there need none).  An article or main around the content, or articles
+that make up half of it, are kept whole.
 
 Text: character references decoded, white space inside a block turned into one
 space, blocks joined in page order by one space.
@@ -135,11 +137,24 @@ def _cut(tag: str, attrs: dict, parent: Node) -> bool:
     return any(CUT_NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
 
+def _size(text: str) -> int:
+    return 0 if text.isspace() else len(text) - text.count(" ")
+
+
+def density(chars: int, tags: int, link_chars: int, link_tags: int, linked: float) -> float:
+    """Composite density; ``linked``: the body's share of link text."""
+    if not chars:
+        return 0.0
+    t, lc, lt = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = math.log(chars / max(chars - link_chars, 1) * link_chars + linked * chars + math.e)
+    return max(0.0, chars / t * math.log(chars / lc * t / lt) / max(math.log(base), 0.01))
+
+
 def measure(page: Page) -> Node:
     """Fill in the densities; returns the body."""
     kept = [n for n in page.nodes if not n.cut]
     for n in reversed(kept):
-        n.chars += sum(len(p) - p.count(" ") for p in n.parts if isinstance(p, str) and not p.isspace())
+        n.chars += sum(_size(p) for p in n.parts if isinstance(p, str))
         if n.tag == "a":
             n.link_chars = n.chars
             n.link_tags += 1
@@ -152,17 +167,15 @@ def measure(page: Page) -> Node:
     linked = body.link_chars / max(body.chars, 1)
     for n in kept:
         if n.chars:
-            c, t = n.chars, max(n.tags, 1)
-            lc, lt = max(n.link_chars, 1), max(n.link_tags, 1)
-            base = math.log(c / max(c - n.link_chars, 1) * n.link_chars + linked * c + math.e)
-            n.density = max(0.0, c / t * math.log(c / lc * t / lt) / max(math.log(base), 0.01))
+            n.density = density(n.chars, n.tags, n.link_chars, n.link_tags, linked)
         if n.parent is not None:
             n.parent.total += n.density
     return body
 
 
-def content(body: Node, page: Page) -> list[Node]:
-    """The nodes that hold the main text, in page order."""
+def content(body: Node, page: Page) -> list:
+    """The nodes, and lists of parts for bare text, that hold the main text, in
+    page order."""
     best = max((n for n in page.nodes if not n.cut and n.chars), key=lambda n: n.total, default=None)
     if best is None:
         return []
@@ -174,24 +187,80 @@ def content(body: Node, page: Page) -> list[Node]:
             break
         n = n.parent
     threshold = min(x.density for x in path)
-    # An article is taken whole, whichever of its parts is the densest.
-    for x in path:
-        if x.tag in ("article", "main") and x.chars:
-            return [x]
-    inner = [n for n in page.nodes if n.tag == "article" and not n.cut and 2 * n.chars >= best.chars]
-    if inner:
-        return inner[:1]
+    # An article is not cut into parts: the chosen subtree is widened to the one
+    # around it, or is the articles that make up half of it.
     chosen = {id(best)}
+    around = next((x for x in path if x.tag in ("article", "main") and x.chars), None)
+    if around is not None:
+        chosen = {id(around)}
+    else:
+        inner = [n for n in page.nodes if n.tag == "article" and not n.cut and n.density >= threshold
+                 and not any(x.tag == "article" for x in _above(n)) and any(x is best for x in _above(n))]
+        if inner and 2 * sum(n.chars for n in inner) >= best.chars:
+            chosen = {id(n) for n in inner}
     on_path = {id(x) for x in path}
-    for x in path[1:]:
-        chosen |= {id(c) for c in x.parts if isinstance(c, Node) and not c.cut and id(c) not in on_path
-                   and c.chars and (c.density >= threshold or c.tag in HEADINGS)}
-    return [n for n in page.nodes if id(n) in chosen]
-
-
-def text_under(node: Node) -> str:
+    for n in page.nodes:
+        if id(n) in chosen:
+            on_path |= {id(x) for x in _above(n)}
+    linked = body.link_chars / max(body.chars, 1)
+    out: list = []
+    todo: list = [path[-1]]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, list):
+            out.append(x)
+        elif id(x) in chosen:
+            out.append(x)
+        elif id(x) in on_path:
+            todo.extend(reversed(_beside(x, on_path | chosen, threshold, linked)))
+        else:
+            out.append(x)
+    return out
+
+
+def _above(n: Node) -> Iterator[Node]:
+    while (n := n.parent) is not None:
+        yield n
+
+
+def _beside(x: Node, inside: set, threshold: float, linked: float) -> list:
+    """The parts of a path element to go into or keep: those of ``inside``,
+    child elements and runs of bare text over the threshold, headings."""
+    out: list = []
+    run: list = []
+
+    def end() -> None:
+        nodes = [p for p in run if isinstance(p, Node)]
+        chars = sum(_size(p) if isinstance(p, str) else p.chars for p in run)
+        if any(isinstance(p, str) and not p.isspace() for p in run) and density(
+                chars, sum(n.tags + 1 for n in nodes if n.tag != "br"), sum(n.link_chars for n in nodes),
+                sum(n.link_tags for n in nodes), linked) >= threshold:
+            out.append(list(run))
+        else:
+            out.extend(n for n in nodes if n.chars and n.density >= threshold)
+        run.clear()
+
+    for c in x.parts:
+        if isinstance(c, str):
+            run.append(c)
+        elif c.cut:
+            continue
+        elif id(c) in inside:
+            end()
+            out.append(c)
+        elif c.tag == "br" or c.tag not in BLOCK:
+            run.append(c)
+        else:
+            end()
+            if c.chars and (c.density >= threshold or c.tag in HEADINGS):
+                out.append(c)
+    end()
+    return out
+
+
+def text_under(node) -> str:
     out: list[str] = []
-    todo: list = [node]
+    todo: list = node[::-1] if isinstance(node, list) else [node]
     while todo:
         x = todo.pop()
         if isinstance(x, str):

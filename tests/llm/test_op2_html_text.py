@@ -53,3 +53,17 @@ def test_odd_rows(spark):
     assert got == sorted([(1, None, ""), (0, "u", ""), (2, "u", "x"), (2, "u", "x"), (3, "u", ("y " * 300_000).strip())],
                          key=str)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_sibling_articles_are_kept():
+    one, two = ("<article>" + f"<p>{w} words that go on for a while and make a paragraph of text.</p>" * 5 + "</article>"
+                for w in ("First", "Second"))
+    text = html_text.main_text(f"<body><div>{one}{two}</div></body>")
+    assert text.count("First") == text.count("Second") == 5
+
+
+def test_bare_text_beside_the_content_is_kept():
+    bare = "<br>".join(["bareword " * 31] * 9)
+    quote = "<blockquote>" + ("<p>" + "quoted " * 50 + "</p>") * 2 + "</blockquote>"
+    text = html_text.main_text(f"<body><div>{bare}{quote}</div></body>")
+    assert text.count("bareword") == 279 and text.count("quoted") == 100
