@@ -2,7 +2,8 @@
 
 A page becomes a tree.  Elements that are never article text (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments of
-readers) are cut off by tag, role or class name.  For every remaining node the
+readers) are cut off by tag, role or leading class name (a name never cuts what holds most of
+the text, or an article, where no other article stands).  For every remaining node the
 composite density relates its characters to its tags, weakened by the share of
 link text; a node's density sum adds up its children's densities.  The subtree
 with the largest sum is the content, the least density on its path to the body
@@ -45,10 +46,10 @@ CUT_TAGS = frozenset("head script style noscript template nav aside footer form
                      "svg canvas audio video dialog menu title".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
 CUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
+    r"(?:^|\s)(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
     r"side-bar|footer|masthead|site-header|page-header|comments?|disqus|replies|cookies?|consent|notice|popup|modal|"
     r"newsletter|subscribe|signup|share|sharing|social|related|recommended|widget|toolbar|skip-link|"
-    r"pagination|pager)(?:$|[\s_-])", re.I)
+    r"pagination|pager)(?:$|\s|[_-](?!(?:open|opened|closed|visible|hidden|enabled|disabled|active|on|off)(?:$|\s)))", re.I)
 #: Start tags that end an open paragraph; tags that end an open one of their group.
 ENDS_P = BLOCK - {"br", "body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"} | {"li", "dd", "dt"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -57,10 +58,10 @@ SCOPE = frozenset("article section div main body html table td th ul ol dl block
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "cut", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+        self.tag, self.parent, self.cut, self.named = tag, parent, cut, False
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -89,6 +90,7 @@ class Page(HTMLParser):
         if tag in ENDS:
             self._end(ENDS[tag])
         node = Node(tag, self.open, self.open.cut or _cut(tag, dict(attrs), self.open))
+        node.named = _named(tag, dict(attrs))
         self.open.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -130,13 +132,40 @@ def _cut(tag: str, attrs: dict, parent: Node) -> bool:
         return True
     if tag == "header":  # an article's own heading is text
         return parent.tag != "article"
-    if (attrs.get("role") or "").lower() in CUT_ROLES:
-        return True
-    if tag in ("article", "main", "body"):
+    return (attrs.get("role") or "").lower() in CUT_ROLES
+
+
+def _named(tag: str, attrs: dict) -> bool:
+    """Whether a class or id names the element as no article text."""
+    if tag in ("article", "main", "body", "header"):
         return False
     return any(CUT_NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
 
+def _cut_named(page: Page) -> None:
+    """Cut the elements that their names give away, but none that holds most of
+    the characters or an article that stands nowhere else."""
+    kept = [n for n in page.nodes if not n.cut]
+    chars, holds, under = ({id(n): 0 for n in kept} for _ in range(3))
+    for n in kept:
+        under[id(n)] = n.parent is not None and (n.parent.named or under[id(n.parent)])
+    for n in reversed(kept):
+        chars[id(n)] += sum(_size(p) for p in n.parts if isinstance(p, str))
+        holds[id(n)] += n.tag in ("article", "main")
+        if n.parent is not None:
+            chars[id(n.parent)] += chars[id(n)]
+            holds[id(n.parent)] += holds[id(n)]
+    free = [n for n in kept if n.tag in ("article", "main") and not under[id(n)] and chars[id(n)]]
+    most = chars[id(page.root)]
+    for n in kept:
+        n.cut = n.parent is not None and n.parent.cut
+        if n.named and not n.cut and (holds[id(n)] or 2 * chars[id(n)] > most):
+            above = {id(x) for x in _above(n)}
+            n.cut = any(id(x) not in above for x in free)
+        elif n.named:
+            n.cut = True
+
+
 def _size(text: str) -> int:
     return 0 if text.isspace() else len(text) - text.count(" ")
 
@@ -152,6 +181,7 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, linked: floa
 
 def measure(page: Page) -> Node:
     """Fill in the densities; returns the body."""
+    _cut_named(page)
     kept = [n for n in page.nodes if not n.cut]
     for n in reversed(kept):
         n.chars += sum(_size(p) for p in n.parts if isinstance(p, str))

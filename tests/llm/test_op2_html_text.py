@@ -67,3 +67,16 @@ def test_bare_text_beside_the_content_is_kept():
     quote = "<blockquote>" + ("<p>" + "quoted " * 50 + "</p>") * 2 + "</blockquote>"
     text = html_text.main_text(f"<body><div>{bare}{quote}</div></body>")
     assert text.count("bareword") == 279 and text.count("quoted") == 100
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "with-menu", "post comments-open", "widget"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_layout_wrappers_are_kept(name, tag):
+    page = f"<body><nav>menu</nav><div class='{name}'><{tag}><p>The text of it.</p><p>More of it.</p></{tag}></div></body>"
+    assert html_text.main_text(page) == "The text of it. More of it."
+
+
+def test_named_parts_are_still_cut():
+    page = ("<article><p>The text of it.</p><div class='related-posts'><p>other</p></div></article>"
+            "<div class='comments'><article><p>" + "A reader says much. " * 20 + "</p></article></div>")
+    assert html_text.main_text(f"<body>{page}</body>") == "The text of it."
