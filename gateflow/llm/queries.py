@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gateflow.llm import bpe, chat, decontam, html_text, license_scan, lm_score, near_dup, pii, quality, warc
+from gateflow.llm import (
+    bpe, chat, decontam, fim, html_text, license_scan, lm_score, mixing, near_dup, pii, quality, ranked_search, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +64,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digests(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_html_text, op3_near_duplicates, op4_pii, op5_lm_score, op6_decontamination, op7_chat, op8_warc,
-    op9_quality, op10_license_scan)}
+    op9_quality, op10_license_scan, op11_ranked_search, op12_fim, op13_mixing)}
 QUERIES["pipeline"] = corpus_pipeline.run
