@@ -13,12 +13,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
-from ..sinks.upsert import read_table, upsert, upsert_batch_writer, writer_id
+from ..sinks.upsert import FOLD_GRACE, LiveFolding, batch_facts, read_table, upsert, upsert_batch_writer, writer_id
 from ..functions.labels import station_key
 from ..functions.time import parse_time
 from ..sources.lines import minute_records, minute_rejects, strict_records, strict_rejects
@@ -82,6 +82,14 @@ def windowed_minute_flow(records: DataFrame, keys: Sequence[str] = LINE_KEYS,
                       F.date_format(F.col("window.start"), "HH").alias("hour"))
 
 
+def passed_partitions(minute: Column, delay: str, partition_by: Sequence[str]) -> list[Column]:
+    """The partition values that ``delay`` before a row's minute falls in:
+    partitions below the greatest of them are behind the watermark."""
+    behind = minute - F.expr(f"interval {delay}")
+    known = {"day": F.date_format(behind, "yyyy-MM-dd"), "hour": F.date_format(behind, "HH")}
+    return [known[c] for c in partition_by]
+
+
 def checkpoint_location(spark: SparkSession, query_name: str, run_id: str | None = None,
                         target: str | None = None) -> str:
     """A query's checkpoint folder under the shared folder.  ``target`` keeps
@@ -95,16 +103,33 @@ def start_minute_flow(lines: DataFrame, target: str, keys: Sequence[str] = LINE_
                       output_mode: str = "update", query_name: str = "minute_flow_line",
                       checkpoint: str | None = None, trigger: dict | None = None,
                       watermark: str = WATERMARK_DELAY,
-                      partition_by=SINK_PARTITIONS) -> StreamingQuery:
+                      partition_by=SINK_PARTITIONS, grace: float = FOLD_GRACE) -> StreamingQuery:
     """Start one minute-flow query writing into the keyed
     table at ``target`` (partitioned by day).  ``update`` re-emits every
     changed window (T4/T12); ``append`` emits a window once the watermark
-    has closed it (T11)."""
-    spark = lines.sparkSession
-    flow = windowed_minute_flow(parsed_records(lines), keys, watermark)
+    has closed it (T11).  Partitions behind the watermark are folded as the
+    stream goes on; what that replaced is deleted ``grace`` seconds later."""
+    return start_record_flow(parsed_records(lines), target, keys, output_mode, query_name, checkpoint, trigger,
+                             watermark, partition_by, grace)
+
+
+def start_record_flow(records: DataFrame, target: str, keys: Sequence[str] = LINE_KEYS,
+                      output_mode: str = "update", query_name: str = "minute_flow_line",
+                      checkpoint: str | None = None, trigger: dict | None = None,
+                      watermark: str = WATERMARK_DELAY,
+                      partition_by=SINK_PARTITIONS, grace: float = FOLD_GRACE) -> StreamingQuery:
+    """``start_minute_flow`` for a stream of parsed records."""
+    return _start_keyed(windowed_minute_flow(records, keys, watermark), target, ["minute", *keys], output_mode,
+                        query_name, checkpoint, trigger, watermark, partition_by, grace)
+
+
+def _start_keyed(flow: DataFrame, target: str, keys: Sequence[str], output_mode: str, query_name: str,
+                 checkpoint: str | None, trigger: dict | None, watermark: str, partition_by, grace: float
+                 ) -> StreamingQuery:
+    spark = flow.sparkSession
     checkpoint = checkpoint or checkpoint_location(spark, query_name, target=target)
-    writer = upsert_batch_writer(target, ["minute", *keys], partition_by=partition_by,
-                                 writer=writer_id(spark, checkpoint))
+    writer = upsert_batch_writer(target, keys, partition_by=partition_by, writer=writer_id(spark, checkpoint),
+                                 passed=passed_partitions(F.col("minute"), watermark, partition_by), grace=grace)
     trig = trigger or {"processingTime": "0 seconds"}
     return (flow.writeStream
                 .queryName(query_name)
@@ -115,6 +140,32 @@ def start_minute_flow(lines: DataFrame, target: str, keys: Sequence[str] = LINE_
                 .start())
 
 
+def chained_line_flow(records: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Line windows chained onto station windows.  Two stateful
+    aggregates in one query, for append mode: a station window that the
+    watermark closes goes on, by its ``window_time``, into the window of its
+    line, so that neither a table nor a micro-batch is read back."""
+    df = records.withColumn("minute", F.date_trunc("minute", F.col("event_ts"))).withWatermark("minute", watermark)
+    stations = (df.groupBy(F.window("minute", WINDOW_LENGTH), *STATION_KEYS)
+                  .agg(F.count(F.lit(1)).alias("total_flow"),
+                       F.count_if(F.col("status") == 0).alias("exit_count"),
+                       F.count_if(F.col("status") == 1).alias("entry_count")))
+    lines = (stations.groupBy(F.window(F.window_time("window"), WINDOW_LENGTH), *LINE_KEYS)
+                     .agg(*(F.sum(c).alias(c) for c in ("total_flow", "exit_count", "entry_count"))))
+    start = F.col("window.start")
+    return lines.select(start.alias("minute"), *LINE_KEYS, "total_flow", "exit_count", "entry_count",
+                        F.date_format(start, "yyyy-MM-dd").alias("day"), F.date_format(start, "HH").alias("hour"))
+
+
+def start_chained_line_flow(lines: DataFrame, target: str, query_name: str = "chained_line_flow",
+                            checkpoint: str | None = None, trigger: dict | None = None,
+                            watermark: str = WATERMARK_DELAY, partition_by=SINK_PARTITIONS,
+                            grace: float = FOLD_GRACE) -> StreamingQuery:
+    """The line table of ``chained_line_flow``."""
+    return _start_keyed(chained_line_flow(parsed_records(lines), watermark), target, ["minute", *LINE_KEYS], "append",
+                        query_name, checkpoint, trigger, watermark, partition_by, grace)
+
+
 def line_rollup(stations: DataFrame) -> DataFrame:
     """Line totals of a minute = sums over its stations (counts add up)."""
     return (stations.groupBy("minute", "lineID", "day", "hour")
@@ -125,34 +176,38 @@ def line_rollup(stations: DataFrame) -> DataFrame:
 
 
 def rollup_writer(station_target: str, line_target: str, station_keys, line_keys, rollup,
-                  from_batch: bool = False, partition_by=SINK_PARTITIONS, writer: str = "0"):
+                  from_batch: bool = False, partition_by=SINK_PARTITIONS, writer: str = "0",
+                  passed: Sequence[Column] | None = None, grace: float = FOLD_GRACE):
     """``foreachBatch`` for T8 with one source read: upsert the changed
     station windows, then rebuild the line rows of the touched minutes from
     the station table (all stations of those minutes, also ones unchanged in
     this batch) and upsert them.  Only the touched partitions of the station
-    table are read, by their values.  A replay writes the same rows again.
+    table are listed and read.  A replay writes the same rows again.
 
     ``from_batch``: in append mode a closed minute leaves the state store
     with all its keys in one micro-batch, so its line rows come from the
     batch itself and the station table is not read back."""
+    folding = [LiveFolding(t, partition_by, writer, grace) for t in (station_target, line_target)] if passed else []
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         batch_df.persist()
         try:
-            if batch_df.isEmpty():
+            n, touched, bound = batch_facts(batch_df, partition_by, passed)
+            if not n:
                 return
             upsert(batch_df, station_target, list(station_keys), batch_id, partition_by,
                    unique_keys=True, writer=writer)
             if from_batch:
                 stations = batch_df
             else:
-                # The days of one micro-batch (a few) prune the station table's folders.
-                days = [r[0] for r in batch_df.select("day").distinct().collect()]
-                stations = (read_table(spark, station_target).where(F.col("day").isin(days))
+                parts = [dict(zip(partition_by, v)) for v in touched]
+                stations = (read_table(spark, station_target, partitions=parts)
                             .join(batch_df.select("minute").distinct(), "minute", "left_semi"))
             upsert(rollup(stations), line_target, list(line_keys), batch_id, partition_by,
                    unique_keys=True, writer=writer)
+            for f in folding:
+                f.after_batch(spark, touched, bound, batch_id)
         finally:
             batch_df.unpersist()
 
@@ -160,9 +215,9 @@ def rollup_writer(station_target: str, line_target: str, station_keys, line_keys
 
 
 def station_and_line_writer(station_target: str, line_target: str, from_batch: bool = False,
-                            partition_by=SINK_PARTITIONS, writer: str = "0"):
+                            partition_by=SINK_PARTITIONS, writer: str = "0", **folding):
     return rollup_writer(station_target, line_target, ["minute", *STATION_KEYS],
-                         ["minute", *LINE_KEYS], line_rollup, from_batch, partition_by, writer)
+                         ["minute", *LINE_KEYS], line_rollup, from_batch, partition_by, writer, **folding)
 
 
 def start_station_and_line_flow(lines: DataFrame, station_target: str, line_target: str,
@@ -170,7 +225,7 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
                                 query_name: str = "station_and_line_flow",
                                 checkpoint: str | None = None, trigger: dict | None = None,
                                 watermark: str = WATERMARK_DELAY,
-                                partition_by=SINK_PARTITIONS) -> StreamingQuery:
+                                partition_by=SINK_PARTITIONS, grace: float = FOLD_GRACE) -> StreamingQuery:
     """T8 as one query: the source is read and parsed once and one state
     store holds the station windows; line totals are derived per batch."""
     spark = lines.sparkSession
@@ -184,7 +239,9 @@ def start_station_and_line_flow(lines: DataFrame, station_target: str, line_targ
                 .foreachBatch(station_and_line_writer(station_target, line_target,
                                                       from_batch=output_mode == "append",
                                                       partition_by=partition_by,
-                                                      writer=writer_id(spark, checkpoint)))
+                                                      writer=writer_id(spark, checkpoint),
+                                                      passed=passed_partitions(F.col("minute"), watermark, partition_by),
+                                                      grace=grace))
                 .trigger(**trig)
                 .start())
 
@@ -222,7 +279,7 @@ def start_inout_flow(lines: DataFrame, station_target: str, line_target: str,
                      output_mode: str = "append", query_name: str = "inout_flow",
                      checkpoint: str | None = None, trigger: dict | None = None,
                      watermark: str = INOUT_WATERMARK,
-                     partition_by=SINK_PARTITIONS) -> StreamingQuery:
+                     partition_by=SINK_PARTITIONS, grace: float = FOLD_GRACE) -> StreamingQuery:
     """The hand-written consumer as one query: lax parse, a minute is saved
     with all its keys once the next one arrives (append), line rows rolled up
     from the station rows of the same minutes."""
@@ -239,7 +296,9 @@ def start_inout_flow(lines: DataFrame, station_target: str, line_target: str,
                                             inout_line_rollup,
                                             from_batch=output_mode == "append",
                                             partition_by=partition_by,
-                                            writer=writer_id(spark, checkpoint)))
+                                            writer=writer_id(spark, checkpoint),
+                                            passed=passed_partitions(F.to_timestamp("minute", "yyyy-MM-dd HH:mm"),
+                                                                     watermark, partition_by), grace=grace))
                 .trigger(**trig)
                 .start())
 
