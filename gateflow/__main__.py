@@ -1,11 +1,12 @@
 """Command line: ``python -m gateflow <job> [options]``.
 
-    clean     --raw DIR --out DIR [--month 2019-01 --first 1 --last 25]
+    clean     --raw DIR --out DIR [--month 2019-01 --first 1 --last 25] [--new-files]
     analyses  --out DIR (reads DIR/clean, writes the five result tables)
     stream    --source DIR --out DIR [--mode update|append] [--rocksdb] [--console]
     inout     --source DIR --out DIR [--rocksdb]
 
-Streams read text files, at most --files-per-batch of them a micro-batch, or,
+``clean --new-files`` takes the daily files that earlier such runs have not seen
+and cleans their days.  Streams read text files, at most --files-per-batch of them a micro-batch, or,
 with --kafka SERVERS --topic NAME, a topic.  --checkpoint names the folder that
 all executors share, where the session has none (spark.checkpoint.dir).
 """
@@ -32,6 +33,7 @@ def main(argv=None) -> None:
     ap.add_argument("--first", type=int, default=1)
     ap.add_argument("--last", type=int, default=25)
     ap.add_argument("--mode", default="update", choices=["update", "append"])
+    ap.add_argument("--new-files", action="store_true")
     ap.add_argument("--rocksdb", action="store_true")
     ap.add_argument("--console", action="store_true", help="also print per-line totals")
     ap.add_argument("--checkpoint", help="shared folder, if the session names none")
@@ -46,7 +48,10 @@ def main(argv=None) -> None:
     out = args.out.rstrip("/")
     if args.job == "clean":
         size_for_input(spark, args.raw)
-        jobs.clean_job(spark, args.raw, out, period)
+        if args.new_files:
+            await_all(spark, [jobs.start_clean_job(spark, args.raw, out, period)])
+        else:
+            jobs.clean_job(spark, args.raw, out, period)
     elif args.job == "analyses":
         clean = f"{out}/clean"
         size_for_input(spark, clean)

@@ -118,6 +118,18 @@ def week_comparison(typed: DataFrame, period: Period,
                        F.col("traffic_count").alias("y")))
 
 
+def week_comparison_by_table(typed: DataFrame, week_groups: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``week_comparison`` with the groups from a dimension table
+    (group_id, service_date).  The days of the named groups are found while
+    the query runs and prune the scan of a layer that is partitioned by
+    ``service_date``; no day list is written into the query.  The table has a
+    row a day and group; the planner broadcasts it by its size."""
+    dim = week_groups.where(F.col("group_id").isin(*groups))
+    agg = halfhour_counts(typed.join(dim.select("service_date"), "service_date", "left_semi"))
+    return agg.join(dim, "service_date").select("group_id", "service_date", day_label("service_date").alias("series"),
+                      slot_label().alias("time_slot"), midpoint_label().alias("x"), F.col("traffic_count").alias("y"))
+
+
 def station_counts(typed: DataFrame, days=None) -> DataFrame:
     """Passengers per day, line, station and status code."""
     return (for_days(typed, days)

@@ -13,19 +13,22 @@ aggregation keyed by the full row (``service_date`` + seven columns):
   three are built).
 
 Stage order matters for the counts: nulls, then duplicates (per day), then
-abnormal, then out-of-range.
+abnormal, then out-of-range.  Rows with another field count than seven, where
+the source tells them apart (a ``malformed`` column with their text), are a
+stage before all others and no part of the other counts but the total.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.rules import abnormal, any_null, broken_rules, out_of_range
 from ..schemas import RAW_COLUMNS, Period
 from ..session import scratch_path
+from ..sources.daily_files import MALFORMED
 
 KEY = ("service_date", *RAW_COLUMNS)
 
@@ -45,14 +48,20 @@ REPORT_LINES = (
 
 def row_groups(raw: DataFrame) -> DataFrame:
     """G3/G4 core: one row per distinct full row and day, with its copy count."""
-    return raw.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))
+    key = (*KEY, MALFORMED) if MALFORMED in raw.columns else KEY
+    return raw.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _malformed(df: DataFrame) -> Column:
+    return F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
 
 
 def _classified(groups: DataFrame, period: Period) -> DataFrame:
     has_null = any_null(RAW_COLUMNS)
     bad = abnormal(period)
     oor = out_of_range(period)
-    stage = (F.when(has_null, F.lit("null"))
+    stage = (F.when(_malformed(groups), F.lit("malformed"))
+             .when(has_null, F.lit("null"))
              .when(bad, F.lit("abnormal"))
              .when(oor, F.lit("out_of_range"))
              .otherwise(F.lit("clean")))
@@ -86,11 +95,13 @@ def rejects_from_groups(groups: DataFrame, period: Period) -> DataFrame:
     def entry(reason: Column, detail: Column, n: Column) -> Column:
         return F.struct(reason.alias("reason"), detail.alias("detail"), n.cast("bigint").alias("n"))
 
-    # a null row is dropped with all its copies; other rows keep one copy
-    whole = F.when(stage != "clean", entry(
-        stage, F.when(stage == "abnormal", broken_rules(period)),
-        F.when(stage == "null", copies).otherwise(F.lit(1))))
-    dups = F.when((stage != "null") & (copies > 1), entry(
+    # a null or malformed row is dropped with all its copies; other rows keep one copy
+    lost = stage.isin("null", "malformed")
+    detail = F.when(stage == "abnormal", broken_rules(period))
+    if MALFORMED in groups.columns:
+        detail = detail.when(stage == "malformed", F.col(MALFORMED))
+    whole = F.when(stage != "clean", entry(stage, detail, F.when(lost, copies).otherwise(F.lit(1))))
+    dups = F.when(~lost & (copies > 1), entry(
         F.lit("duplicate"), F.lit(None).cast("string"), copies - 1))
     # Both entries of a group come from one grouping: one scan, one shuffle.
     return g.select(*KEY, F.inline(F.array_compact(F.array(whole, dups))))
@@ -108,18 +119,25 @@ def _cnt(cond: Column, weight: Column | None = None) -> Column:
 def report_from_groups(groups: DataFrame, period: Period) -> DataFrame:
     """G1/G2/G3/G5/G6 and the final count, one row per ``service_date``."""
     g = _classified(groups, period)
-    copies = F.col("copies")
-    stage = F.col("stage")
-    null_counts = [_cnt(F.col(c).isNull(), copies).alias(f"null_{c}") for c in RAW_COLUMNS]
-    return (g.groupBy("service_date").agg(
-        F.sum(copies).cast("bigint").alias("total"),
-        *null_counts,
+    return g.groupBy("service_date").agg(*_counts(g))
+
+
+def _counts(g: DataFrame) -> list[Column]:
+    """The counts of the report over classified groups."""
+    copies, stage = F.col("copies"), F.col("stage")
+    read = stage != "malformed"
+    out = [
+        F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("total"),
+        *(_cnt(read & F.col(c).isNull(), copies).alias(f"null_{c}") for c in RAW_COLUMNS),
         _cnt(stage == "null", copies).alias("null_rows"),
-        _cnt(stage != "null", copies - 1).alias("duplicates"),
+        _cnt(~stage.isin("null", "malformed"), copies - 1).alias("duplicates"),
         _cnt(stage == "abnormal").alias("abnormal"),
         _cnt(stage == "out_of_range").alias("out_of_range"),
         _cnt(stage == "clean").alias("final"),
-    ))
+    ]
+    if MALFORMED in g.columns:
+        out.append(_cnt(stage == "malformed", copies).alias("malformed"))
+    return out
 
 
 def report(raw: DataFrame, period: Period) -> DataFrame:
@@ -156,6 +174,17 @@ def report_text(report_df: DataFrame) -> DataFrame:
     return report_df.select("service_date", F.concat_ws("\n", *pieces).alias("text"))
 
 
+def write_groups(raw: DataFrame, period: Period, path: str) -> dict[str, int]:
+    """Write the grouping to ``path`` and return the report's counts
+    over all days, observed as the rows pass on their way to the files.  They
+    are taken behind the shuffle, in the tasks that write, whose results count
+    once each even if an executor is lost and tasks run again."""
+    seen = Observation()
+    g = _classified(row_groups(raw), period)
+    g.observe(seen, *_counts(g)).drop("stage").write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 @dataclass
 class CleaningResult:
     clean: DataFrame
@@ -163,6 +192,8 @@ class CleaningResult:
     report: DataFrame
     groups: DataFrame
     groups_path: str
+    #: The report's counts over all days, taken while the grouping was written.
+    totals: dict[str, int]
 
     def release(self) -> None:
         """Delete the grouping table once the outputs are written."""
@@ -183,7 +214,7 @@ def clean_all(raw: DataFrame, period: Period, groups_path: str | None = None) ->
     Call ``release()`` after writing the outputs."""
     spark = raw.sparkSession
     path = groups_path or scratch_path(spark, "quality-groups")
-    row_groups(raw).write.mode("overwrite").parquet(path)
+    totals = write_groups(raw, period, path)
     groups = spark.read.parquet(path)
     return CleaningResult(
         clean=clean_from_groups(groups, period),
@@ -191,4 +222,5 @@ def clean_all(raw: DataFrame, period: Period, groups_path: str | None = None) ->
         report=report_from_groups(groups, period),
         groups=groups,
         groups_path=path,
+        totals=totals,
     )

@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 from ..functions.time import ts_text
 from ..operators import flows, minute, quality, series
 from ..operators.records import typed, with_labels
+from ..schemas import RAW_COLUMNS, WEEK_GROUPS
 from ..session import apply_session_defaults, scratch_path
 from ..sinks import cells
 from ..sinks.files import write_by_day, write_daily_files
 from ..sinks.upsert import read_table, upsert
-from ..sources.daily_files import read_clean_layer, read_daily_csv
+from ..sources.daily_files import read_clean_layer, read_daily_csv, read_daily_records
 from ..sources.fixture import FIXTURE_PERIOD, raw_swipes_from_dir
 from ..sources.lines import lax_records, parse_lax, parse_strict, strict_records, to_line
 from ..sources.streams import events_line_stream, text_line_stream
 from ..streaming import minute_flow as stream
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 PERIOD = FIXTURE_PERIOD
@@ -135,6 +137,55 @@ def daily_files_scan(spark, sf_dir):
         read_daily_csv(spark, path, LISTED_DAYS).select(F.lit("days").alias("scan"), "*"))
 
 
+def _short_or_long(device: str = "deviceID") -> tuple:
+    """Fault of ``daily_files_malformed``: which rows lack a field or have one
+    too many (all rows pass)."""
+    n = F.pmod(F.col(device).cast("int"), F.lit(50))
+    return n == 7, n == 9
+
+
+def daily_files_malformed(spark, sf_dir):
+    """Daily files in which some rows have six fields and some
+    eight; they are rejects with their text, beside the other rejects."""
+    raw = _raw(spark, sf_dir)
+    short, long_ = _short_or_long()
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
+    line = (F.when(short, F.concat_ws(",", *fields[:-1])).when(long_, F.concat_ws(",", *fields, F.lit("extra")))
+            .otherwise(F.concat_ws(",", *fields)))
+    path = scratch_path(spark, "daily-malformed")
+    write_daily_files(raw.select("service_date", line.alias(",".join(RAW_COLUMNS))), path,
+                      options={"sep": "\u0001", "quote": ""})
+    return quality.rejects(read_daily_records(spark, path), PERIOD)
+
+
+def quality_observed(spark, sf_dir):
+    """The report's counts over all days, observed while the
+    grouping is written; nothing reads the grouping for them."""
+    path = scratch_path(spark, "quality-observed")
+    totals = quality.write_groups(_raw(spark, sf_dir), PERIOD, path)
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{c} long" for c in totals))
+
+
+#: ``clean_incremental``: the days up to this one arrive first, and of the day itself a part only.
+FIRST_DAYS = "2024-01-14"
+
+
+def clean_incremental(spark, sf_dir):
+    """Daily files arrive twice, one day's in two parts; each run
+    cleans the days of the new files.  The clean layer that results."""
+    raw = _raw(spark, sf_dir)
+    folder, out = scratch_path(spark, "daily-arrivals"), scratch_path(spark, "daily-clean")
+    even = F.pmod(F.col("deviceID").cast("int"), F.lit(2)) == 0
+    first = (F.col("service_date") < FIRST_DAYS) | ((F.col("service_date") == FIRST_DAYS) & even)
+    for tag, rows in (("a", raw.where(first)), ("b", raw.where(~first))):
+        write_daily_files(rows, folder, mode="append", tag=tag)
+        q = jobs.start_clean_job(spark, folder, out, PERIOD)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return read_clean_layer(spark, f"{out}/clean")
+
+
 # --- batch analyses ----------------------------------------------------------
 
 def halfhour_flow(spark, sf_dir):
@@ -167,6 +218,16 @@ def week_comparison(spark, sf_dir):
     return flows.week_comparison(_typed(spark, sf_dir), PERIOD)
 
 
+def week_comparison_pruned(spark, sf_dir):
+    """The week groups as a table, whose days prune the scan of the
+    clean layer while the query runs."""
+    layer, table = scratch_path(spark, "clean-layer"), scratch_path(spark, "week-groups")
+    write_by_day(_clean(spark, sf_dir), layer)
+    flows.week_groups_frame(spark, PERIOD).coalesce(1).write.parquet(table)
+    groups = [f"{a:02d}_to_{b:02d}" for a, b in WEEK_GROUPS]
+    return flows.week_comparison_by_table(typed(read_clean_layer(spark, layer)), spark.read.parquet(table), groups)
+
+
 def station_flow_daily(spark, sf_dir):
     """G9/P16/W1/C3."""
     return flows.station_flow_daily(_typed(spark, sf_dir))
@@ -276,6 +337,14 @@ def inout_cells_station(spark, sf_dir):
     return cells.inout_station_cells(minute.inout_minute_station(_lax_valid(spark, sf_dir)))
 
 
+def cells_in_key_order(spark, sf_dir):
+    """O1/O2/K6/K7: the station cells as sorted files with key ranges of
+    their own, read back."""
+    path = scratch_path(spark, "cell-files")
+    cells.write_in_key_order(cells.station_cells(minute.minute_flow_station(_strict_valid(spark, sf_dir))), path, 8)
+    return spark.read.parquet(path)
+
+
 # --- sinks -------------------------------------------------------------------
 
 def upsert_latest_wins(spark, sf_dir):
@@ -330,6 +399,53 @@ def stream_minute_line_append(spark, sf_dir):
     return _stream_run(spark, sf_dir, stream.LINE_KEYS, "append", "stream_minute_line_append")
 
 
+def stream_chained_rollup(spark, sf_dir):
+    """Line windows chained onto station windows in one query."""
+    target = scratch_path(spark, "tables", "chained_lines")
+    name = "stream_chained_rollup"
+    q = stream.start_chained_line_flow(
+        events_line_stream(spark, sf_dir), target, name,
+        checkpoint=stream.checkpoint_location(spark, name, target.rsplit("/", 1)[-1]), trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return _minute_text(read_table(spark, target).select("minute", "lineID", "total_flow", "exit_count", "entry_count"))
+
+
+def stream_shared_parse(spark, sf_dir):
+    """Messages are read and parsed once, into a table that the
+    line flow and the rejects read as streams.  Both results as
+    (kind, minute, lineID, reason, n)."""
+    parsed, flow, rejects = (scratch_path(spark, "tables", f"shared_{k}") for k in ("parsed", "flow", "rejects"))
+    now = {"availableNow": True}
+    stream.await_all(spark, [stream.start_parse(events_line_stream(spark, sf_dir), parsed, trigger=now)])
+    stream.await_all(spark, [
+        stream.start_record_flow(stream.parsed_stream(spark, parsed, True), flow, query_name="shared_flow", trigger=now),
+        stream.start_parsed_rejects(spark, parsed, rejects, trigger=now)])
+    none = F.lit(None).cast("string")
+    lines = read_table(spark, flow).select(F.lit("flow").alias("kind"), ts_text("minute").alias("minute"), "lineID",
+                                           none.alias("reason"), F.col("total_flow").alias("n"))
+    return lines.unionByName(spark.read.parquet(rejects).groupBy("reject_reason").agg(F.count("*").alias("n")).select(
+        F.lit("reject").alias("kind"), none.alias("minute"), none.alias("lineID"),
+        F.col("reject_reason").alias("reason"), "n"))
+
+
+def stream_state_left(spark, sf_dir):
+    """What an append-mode query on the RocksDB provider keeps in
+    its state when all messages are in: the open windows."""
+    keys = [*stream.STATE_CONF, "spark.sql.streaming.stateStore.providerClass"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    target = scratch_path(spark, "tables", "state_left")
+    name, run_id = "stream_state_left", target.rsplit("/", 1)[-1]
+    stream.configure_state(spark, rocksdb=True)
+    try:
+        stream.run_to_completion(events_line_stream(spark, sf_dir), target, stream.LINE_KEYS, "append", name, run_id)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return _minute_text(stream.open_windows(spark, stream.checkpoint_location(spark, name, run_id)))
+
+
 def stream_line_rollup(spark, sf_dir):
     """T8 with one query: station windows, line rows rolled up per batch."""
     lines = events_line_stream(spark, sf_dir)
@@ -379,7 +495,7 @@ def stream_inout_rejects(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-def _sliced_stream(spark, sf_dir, name, slice_of, again, watermark):
+def _sliced_stream(spark, sf_dir, name, slice_of, again, watermark, **options):
     """The messages of all ``events`` in four slices that arrive one after
     the other, each as micro-batches of their own; ``again``: the first slice
     arrives once more at the end.  T7's state settings are on."""
@@ -392,7 +508,7 @@ def _sliced_stream(spark, sf_dir, name, slice_of, again, watermark):
         for k in (0, 1, 2, 3, *((0,) if again else ())):
             to_line(raw.where(F.col("_slice") == k)).write.mode("append").text(folder)
             q = stream.start_minute_flow(text_line_stream(spark, folder), target, stream.LINE_KEYS, "update",
-                                         name, trigger={"availableNow": True}, watermark=watermark)
+                                         name, trigger={"availableNow": True}, watermark=watermark, **options)
             q.awaitTermination()
     finally:
         for k, v in before.items():
@@ -415,6 +531,16 @@ def stream_late_rows(spark, sf_dir):
     return _sliced_stream(spark, sf_dir, "stream_late_rows", week, True, stream.WATERMARK_DELAY)
 
 
+def upsert_compacted_live(spark, sf_dir):
+    """Day folders that the stream folds behind its watermark while
+    it goes on writing, and whose updates it deletes at once."""
+    # Each half month in two arrivals, so that a day gets two updates at least before it closes.
+    half = F.when(F.dayofmonth(F.to_date("service_date")) <= 15, 0).otherwise(2)
+    part = half + F.pmod(F.xxhash64("time", "userID", "deviceID"), F.lit(2))
+    return _sliced_stream(spark, sf_dir, "upsert_compacted_live", part, False, "16 days",
+                          grace=0.0)
+
+
 def stream_rejects(spark, sf_dir):
     """Rejected messages of the stream, written by a file sink."""
     lines = events_line_stream(spark, sf_dir)
@@ -478,4 +604,13 @@ QUERIES: dict[str, Query] = {
     "stream_inout_rejects": stream_inout_rejects,
     "stream_multi_batch_update": stream_multi_batch_update,
     "stream_late_rows": stream_late_rows,
+    "stream_chained_rollup": stream_chained_rollup,
+    "upsert_compacted_live": upsert_compacted_live,
+    "daily_files_malformed": daily_files_malformed,
+    "stream_shared_parse": stream_shared_parse,
+    "clean_incremental": clean_incremental,
+    "quality_observed": quality_observed,
+    "cells_in_key_order": cells_in_key_order,
+    "week_comparison_pruned": week_comparison_pruned,
+    "stream_state_left": stream_state_left,
 }

@@ -27,13 +27,14 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import flows, quality
 from ..operators.records import typed
 from ..schemas import LINE_ANALYSIS_DAYS, WEEK_BASE_DAY, WEEK_GROUPS, Period
 from ..sinks.files import write_by_day, write_table
 from ..sinks.upsert import upsert
-from ..sources.daily_files import read_clean_layer, read_daily_csv
+from ..sources.daily_files import daily_file_stream, read_clean_layer, read_daily_records
 from ..streaming import minute_flow as stream
 
 
@@ -45,8 +46,9 @@ def clean_job(spark: SparkSession, raw_folder: str, out_folder: str, period: Per
               days: Iterable[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """Clean the daily files; returns the report (read back from its table).
 
-    One scan, one shuffle (the grouping, written once), three writes."""
-    raw = read_daily_csv(spark, raw_folder, days)
+    One scan, one shuffle (the grouping, written once), three writes.  Rows
+    with another field count are rejects with their text as detail."""
+    raw = read_daily_records(spark, raw_folder, days)
     res = quality.clean_all(raw, period)
     schema = res.report.schema
     try:
@@ -65,6 +67,29 @@ def clean_job(spark: SparkSession, raw_folder: str, out_folder: str, period: Per
     return report
 
 
+def start_clean_job(spark: SparkSession, raw_folder: str, out_folder: str, period: Period,
+                    trigger: dict | None = None, checkpoint: str | None = None,
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """``clean_job`` for the days of new daily files only.
+
+    The folder is a file stream, so a file that was there at an earlier run is
+    neither read nor cleaned again.  The files of a micro-batch name its days;
+    these are cleaned from all their files, so that a late part of a day joins
+    the parts that came before, and only their folders are written.  A replay
+    cleans the same days again."""
+    days = daily_file_stream(spark, raw_folder, max_files_per_trigger).select("service_date")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        came = [r[0] for r in batch.distinct().collect()]           # at most one a file
+        if came:
+            clean_job(spark, raw_folder, out_folder, period, came)
+
+    name = "clean_new_days"
+    return (days.writeStream.queryName(name)
+                .option("checkpointLocation", checkpoint or stream.checkpoint_location(spark, name, target=out_folder))
+                .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def _clean_typed(spark: SparkSession, clean_path: str, days=None, fmt: str = "parquet") -> DataFrame:
     return typed(read_clean_layer(spark, clean_path, days, fmt))
 

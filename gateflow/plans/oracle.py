@@ -327,4 +327,34 @@ union all
 select station_key, 'out', station_key || ' (out)', minute, out_count
 from mms where station_key in ('A-1', 'A-7', 'A-40')""")
     q["upsert_new_writer"] = q["upsert_latest_wins"]
+    q["stream_chained_rollup"] = q["stream_minute_line_append"]
+    q["upsert_compacted_live"] = q["minute_flow_line"]
+    q["clean_incremental"] = q["clean_records"]
+    q["week_comparison_pruned"] = q["week_comparison"]
+    q["cells_in_key_order"] = q["rowkey_cells_station"]
+    q["stream_shared_parse"] = _with(LINES, """
+select 'flow' as kind, minute, lineID, null as reason, total_flow as n from mfl
+union all
+select 'reject', null, null, reject_reason, count(*) from strict where reject_reason is not null group by reject_reason""")
+    q["stream_state_left"] = _with(LINES, """
+select * from mfl
+where strptime(minute, '%Y-%m-%d %H:%M:%S') + interval '2 minutes'
+      > (select max(date_trunc('minute', ts)) from sv)""")
+    counts = ["total", *(f"null_{c}" for c in _NULL_COLS), "null_rows", "duplicates", "abnormal", "out_of_range", "final"]
+    q["quality_observed"] = _with(CLS + f", rep as ({_REPORT})", "select "
+                                  + ", ".join(f"cast(sum({c}) as bigint) as {c}" for c in counts) + " from rep")
+    # Of the rows with a field too few or too many only the text is known.
+    told = RAW.replace("raw as (", "every as (") + f""",
+raw as (select {COLS} from every where cast(deviceID as int) % 50 not in (7, 9)),
+six as (select *, concat_ws(',', coalesce(time, ''), coalesce(lineID, ''), coalesce(stationID, ''),
+               coalesce(deviceID, ''), coalesce(status, ''), coalesce(userID, '')) as line from every),
+malformed as (
+  select service_date, line as detail from six where cast(deviceID as int) % 50 = 7
+  union all
+  select service_date, line || ',' || coalesce(payType, '') || ',extra' from six where cast(deviceID as int) % 50 = 9)
+"""
+    q["daily_files_malformed"] = q["rejected_records"].replace(RAW, told) + f"""
+union all
+select service_date, {', '.join(f'null as {c}' for c in _NULL_COLS)}, 'malformed' as reason, detail, count(*) as n
+from malformed group by service_date, detail"""
     return q

@@ -23,6 +23,15 @@ INOUT_QUALIFIERS = ("in_count", "out_count", "total_count")
 # -----------------------------------------------------------------------------
 
 
+def write_in_key_order(cells: DataFrame, path: str, files: int) -> None:
+    """O1/O2: cells as files that a keyed store can load: sorted by row key and
+    qualifier (byte order, as such stores sort), about ``files`` files whose key
+    ranges follow one another.  The rows are range-partitioned, so no task
+    holds more than its range, and a row key's cells stay in one file."""
+    (cells.repartitionByRange(files, "row_key").sortWithinPartitions("row_key", "qualifier")
+          .write.mode("overwrite").parquet(path))
+
+
 def _cells(df: DataFrame, row_key, values: dict) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(q).alias("qualifier"), v.cast("string").alias("value"))
                       for q, v in values.items()])

@@ -10,7 +10,8 @@ instead of sending a whole day to one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,22 +43,37 @@ def drop_days(spark: SparkSession, path: str, days: Iterable[str], day_col: str
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def write_daily_files(df: DataFrame, folder: str, day_col: str = "service_date") -> None:
-    """One headed CSV file ``record_<day>.csv`` a day, as the studied
-    input has it (the layout, not Spark, asks for a whole day in one file)."""
+def write_daily_files(df: DataFrame, folder: str, day_col: str = "service_date", mode: str = "overwrite",
+                      tag: str = "", options: Mapping[str, str] | None = None) -> None:
+    """Headed CSV files ``record_<day>.csv`` as the studied input has them;
+    a day that is written in several parts (a hot day, a limit on the rows of a
+    file) gets ``record_<day>_<n>.csv`` files.  ``overwrite`` replaces all daily
+    files of the folder, ``append`` adds files, whose names must be new:
+    ``tag`` tells one arrival of a day from another.  A file that cannot take
+    its name is an error, and no row is deleted then."""
     spark = df.sparkSession
-    (df.repartition(day_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .option("header", True).options(**NO_SUCCESS_MARKER).partitionBy(day_col).csv(folder))
+    folder = folder.rstrip("/")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     top = hadoop.Path(folder)
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for day in fs.listStatus(top):
+    coming = f"{folder}/_coming-{uuid.uuid4().hex}"
+    (df.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .options(**{"header": True, **(options or {}), **NO_SUCCESS_MARKER}).partitionBy(day_col).csv(coming))
+    if mode == "overwrite":
+        for old in fs.globStatus(hadoop.Path(f"{folder}/record_*.csv")) or ():
+            fs.delete(old.getPath(), False)
+    for day in fs.listStatus(hadoop.Path(coming)):
         name = day.getPath().getName()
-        if name.startswith(f"{day_col}="):
-            for part in fs.listStatus(day.getPath()):
-                if part.getPath().getName().endswith(".csv"):
-                    fs.rename(part.getPath(), hadoop.Path(f"{folder}/record_{name.split('=', 1)[1]}.csv"))
-            fs.delete(day.getPath(), True)
+        if not name.startswith(f"{day_col}="):
+            continue
+        parts = sorted((p.getPath() for p in fs.listStatus(day.getPath()) if p.getPath().getName().endswith(".csv")),
+                       key=lambda p: p.getName())
+        stem = f"{folder}/record_{name.split('=', 1)[1]}{tag and '_' + tag}"
+        for n, part in enumerate(parts):
+            to = hadoop.Path(f"{stem}.csv" if len(parts) == 1 else f"{stem}_{n}.csv")
+            if fs.exists(to) or not fs.rename(part, to):
+                raise OSError(f"{part} cannot become {to}")
+    fs.delete(hadoop.Path(coming), True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

@@ -4,7 +4,7 @@ The studied programs send ``REPLACE INTO`` one row and one connection at a
 time from the driver, and HBase puts from ``collect()``.  Here a table is a
 set of update folders that are only ever added, below its partition columns::
 
-    target/day=<d>/hour=<h>/_base=0/_writer=<id>/_version=<n>/part-*
+    target/day=<d>/hour=<h>/_update=0.<version>.<writer>/part-*
 
 An upsert writes its rows once into the folders of its writer and version and
 reads nothing of the table.  A replay overwrites those folders with the same
@@ -18,7 +18,7 @@ its checkpoint is, and starts with the time: it stays the same over restarts,
 and a new checkpoint, whose batch ids begin at 0 again, ranks above the old.
 
 ``fold`` joins the updates of some partitions into one folder each
-(``_base=1``, then 2, ...), in which every row keeps its own rank.  Folded rows
+(``_update=1...``, then 2, ...), in which every row keeps its own rank.  Folded rows
 and the updates that they come from say the same, so neither a stop
 between writing and deleting nor an update that comes meanwhile changes a
 result.  A stream folds the partitions that its watermark has passed while it
@@ -33,14 +33,14 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION_COL = "_version"
 WRITER_COL = "_writer"
-BASE_COL = "_base"
+#: The folders of one update: how often its rows were folded, version, writer.
+UPDATE_COL = "_update"
 RANK_COLS = (WRITER_COL, VERSION_COL)
 #: The ranks that folded rows had as updates.
 FOLDED = {WRITER_COL: "_row_writer", VERSION_COL: "_row_version"}
@@ -161,12 +161,12 @@ def adaptive(spark: SparkSession) -> Iterator[None]:
 def _write(df: DataFrame, target: str, base: int, writer: str, version: int, partition_by: Sequence[str],
            fmt: str) -> None:
     """One file per partition value unless adaptive execution finds it too large."""
-    rows = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    rows = rows.withColumns({BASE_COL: F.lit(base), WRITER_COL: F.lit(writer), VERSION_COL: F.lit(int(version))})
-    with adaptive(df.sparkSession):
+    with adaptive(df.sparkSession):         # the hint is read, or dropped, where it is given
+        rows = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+        rows = rows.withColumn(UPDATE_COL, F.lit(f"{base}.{int(version)}.{writer}"))
         (rows.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
              .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-             .partitionBy(*partition_by, BASE_COL, WRITER_COL, VERSION_COL).save(target))
+             .partitionBy(*partition_by, UPDATE_COL).save(target))
 
 
 def _describe(spark: SparkSession, target: str) -> dict:
@@ -183,11 +183,13 @@ def _load(spark: SparkSession, target: str, about: dict, paths: Sequence[str]) -
     schema = T.StructType.fromJson(about["schema"])
     names = schema.fieldNames()
     for name, kind in ((FOLDED[WRITER_COL], T.StringType()), (FOLDED[VERSION_COL], T.LongType()),
-                       (BASE_COL, T.IntegerType()), (WRITER_COL, T.StringType()), (VERSION_COL, T.LongType())):
+                       (UPDATE_COL, T.StringType())):
         schema = schema.add(name, kind)
     reader = spark.read.format(about["fmt"]).schema(schema).option("basePath", target)
     rows = reader.load(list(paths)) if paths else spark.createDataFrame([], schema)
-    return rows.select(*names, *(F.coalesce(F.col(old), F.col(new)).alias(new) for new, old in FOLDED.items()))
+    update = F.split(UPDATE_COL, r"\.", 3)
+    rank = {WRITER_COL: update[2], VERSION_COL: update[1].cast("long")}
+    return rows.select(*names, *(F.coalesce(F.col(FOLDED[c]), rank[c]).alias(c) for c in RANK_COLS))
 
 
 def _latest(rows: DataFrame, about: dict) -> DataFrame:
@@ -223,44 +225,32 @@ def read_table(spark: SparkSession, target: str, keep_version: bool = False,
     return latest.select(*names, *(RANK_COLS if keep_version else ()))
 
 
-def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p)
-                  if s.isDirectory() and s.getPath().getName().startswith(prefix))
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that a pattern names, as they are written here."""
+    fs, p = _fs(spark, pattern)
+    depth = pattern.count("/")
+    top = pattern.split("*", 1)[0].rsplit("/", 1)[0]
+    # Only the part below the table: a listing may spell the file system's name out.
+    return sorted(top + "/" + "/".join(str(s.getPath()).split("/")[-(depth - top.count("/")):])
+                  for s in fs.globStatus(p) or () if s.isDirectory())
 
 
 def partition_folders(spark: SparkSession, target: str, partition_by: Sequence[str]) -> list[str]:
     """The folders of all partition values."""
-    found = [target.rstrip("/")]
-    for c in partition_by:
-        found = [x for f in found for x in _children(spark, f, f"{c}=")]
-    return found
+    target = target.rstrip("/")
+    return _found(spark, "/".join([target, *(f"{c}=*" for c in partition_by)])) if partition_by else [target]
 
 
 def update_folders(spark: SparkSession, partition: str) -> list[str]:
     """The updates and folded updates of one partition folder."""
-    found = [partition]
-    for c in (BASE_COL, WRITER_COL, VERSION_COL):
-        found = [x for f in found for x in _children(spark, f, f"{c}=")]
-    return found
+    return _found(spark, f"{partition}/{UPDATE_COL}=*")
 
 
 def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
-    """Delete update folders, and the folders above them that this empties."""
+    """Delete folders of updates."""
     for folder in folders:
         fs, p = _fs(spark, folder)
         fs.delete(p, True)
-        for _ in range(2):
-            folder = folder.rsplit("/", 1)[0]
-            if _children(spark, folder, "_"):
-                break
-            try:
-                # Not recursive: an update that has come meanwhile stays.
-                _fs(spark, folder)[0].delete(_fs(spark, folder)[1], False)
-            except Py4JJavaError:
-                break
 
 
 def fold(spark: SparkSession, target: str, partitions: Sequence[str], writer: str, version: int,
@@ -274,7 +264,7 @@ def fold(spark: SparkSession, target: str, partitions: Sequence[str], writer: st
     replaced = [f for fs in old for f in fs]
     if not replaced:
         return []
-    base = 1 + max(int(f.rsplit(f"/{BASE_COL}=", 1)[1].split("/", 1)[0]) for f in replaced)
+    base = 1 + max(int(f.rsplit(f"/{UPDATE_COL}=", 1)[1].split(".", 1)[0]) for f in replaced)
     rows = _latest(_load(spark, target, about, replaced), about).withColumnsRenamed(FOLDED)
     _write(rows, target, base, writer, version, about["partition_by"], about["fmt"])
     return replaced

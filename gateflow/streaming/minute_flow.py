@@ -21,7 +21,8 @@ from ..session import shared_dir
 from ..sinks.upsert import FOLD_GRACE, LiveFolding, batch_facts, read_table, upsert, upsert_batch_writer, writer_id
 from ..functions.labels import station_key
 from ..functions.time import parse_time
-from ..sources.lines import minute_records, minute_rejects, strict_records, strict_rejects
+from ..sources.lines import (
+    STRICT_RECORD_COLUMNS, minute_records, minute_rejects, parse_strict, strict_records, strict_rejects)
 
 # --- fixed values: stream settings of the studied consumer ------------------
 WATERMARK_DELAY = "1 minute"
@@ -318,6 +319,53 @@ def start_inout_rejects(lines: DataFrame, target: str, query_name: str = "inout_
     return _append(minute_rejects(lines), target, query_name, checkpoint, trigger)
 
 
+# Messages are read and parsed once, into a streaming table that
+# the flow and the rejects read, each its own partition of it.
+PARSED_SCHEMA = "raw string, time string, lineID string, stationID int, deviceID int, status int, userID string, " \
+                "payType int, event_ts timestamp, reject_reason string, is_valid boolean"
+
+
+def start_parse(lines: DataFrame, target: str, query_name: str = "parsed_messages",
+                checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Every message, parsed, into a file table partitioned by ``is_valid``."""
+    parsed = parse_strict(lines).withColumn("raw", F.when(~F.col("is_valid"), F.col("raw")))
+    spark = lines.sparkSession
+    return (parsed.writeStream
+                .queryName(query_name)
+                .outputMode("append")
+                .format("parquet")
+                .partitionBy("is_valid")
+                .option("path", target)
+                .option("checkpointLocation", checkpoint or checkpoint_location(spark, query_name, target=target))
+                .trigger(**(trigger or {"processingTime": "0 seconds"}))
+                .start())
+
+
+def parsed_stream(spark: SparkSession, target: str, valid: bool) -> DataFrame:
+    """The valid records, or the rejects, of the table of ``start_parse`` as a
+    stream.  The table's own log says which files count, so a message arrives
+    once even if the parse was stopped inside a write."""
+    rows = spark.readStream.schema(PARSED_SCHEMA).parquet(target).where(F.col("is_valid") == valid)
+    return rows.select(*STRICT_RECORD_COLUMNS) if valid else rows.select("raw", "reject_reason")
+
+
+def start_parsed_rejects(spark: SparkSession, parsed: str, target: str, query_name: str = "parsed_rejects",
+                         checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """T13 from the parsed table."""
+    return _append(parsed_stream(spark, parsed, False), target, query_name, checkpoint, trigger)
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a minute-flow query of line keys keeps in
+    its state: those that the watermark has not closed.  Read with the state
+    data source from the query's checkpoint."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # Aggregation buffers are in the order of the aggregates, under names that repeat; a cast goes by place.
+    counts = F.col("value").cast("struct<total_flow: bigint, exit_count: bigint, entry_count: bigint>")
+    return state.select(F.col("key.window.start").alias("minute"), F.col("key.lineID").alias("lineID"),
+                        counts.alias("counts")).select("minute", "lineID", "counts.*")
+
+
 def _append(rows: DataFrame, target: str, query_name: str, checkpoint: str | None,
             trigger: dict | None) -> StreamingQuery:
     return (rows.writeStream
@@ -363,13 +411,13 @@ def console_batch_writer(keys: Sequence[str]):
 
 def run_to_completion(lines: DataFrame, target: str, keys: Sequence[str] = LINE_KEYS,
                       output_mode: str = "update", query_name: str = "minute_flow_line",
-                      run_id: str | None = None) -> DataFrame:
+                      run_id: str | None = None, **options) -> DataFrame:
     """Process everything available now (T6 for tests and back-fills) and
     return the keyed table as a batch DataFrame."""
     spark = lines.sparkSession
     q = start_minute_flow(lines, target, keys, output_mode, query_name,
                           checkpoint=checkpoint_location(spark, query_name, run_id),
-                          trigger={"availableNow": True})
+                          trigger={"availableNow": True}, **options)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -77,7 +77,7 @@ def test_stop_between_writes_and_replay(spark):
     U.upsert(first, target, ["k"], 0, ["day"])
     U.upsert(second, target, ["k"], 1, ["day"])
     # A stop inside the second write leaves part of its folder; the replay completes it.
-    shutil.rmtree(f"{target}/day=d1/_base=0/_writer=0/_version=1")
+    shutil.rmtree(f"{target}/day=d1/_update=0.1.0")
     U.upsert(second, target, ["k"], 1, ["day"])
     U.upsert(first, target, ["k"], 0, ["day"])  # an old replay changes nothing
     want = [(None, "c", 2), ("d1", "a", 2), ("d2", "b", 1)]
