@@ -1,6 +1,10 @@
 """Driver contract: entry runs, every query has an oracle, and a sample of
 queries matches its oracle on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 from conftest import SF_SMALL
@@ -28,3 +32,14 @@ def test_matches_oracle_small(spark, name):
     df = E.queries()[name](spark, SF_SMALL).select(*rel.columns)
     got = sorted(tuple(str(v) for v in r) for r in df.collect())
     assert got == want
+
+
+@pytest.mark.parametrize("module", ["gateflow.llm", "ahocorasick", "corpus_pipeline"])
+def test_core_queries_stay_without_a_module(module):
+    code = (f"import sys; sys.modules['{module}'] = None; import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.QUERIES), len(E.oracle_sql()))")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=here, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    n, core, sql = map(int, done.stdout.split())
+    assert n == core == sql and "pipeline operators left out" in done.stderr
