@@ -7,26 +7,31 @@ share sketches where they share k-mers in the same order.  Texts with a sketch
 in common are candidates.
 
 1. Equal texts become one node (a partial aggregate, whatever their number).
-2. Nodes that share a sketch are tied to the least of them; the connected
-   components of these ties are the families inside which links can exist.
-3. Families are cut into blocks of about BLOCK_KMERS; every pair of blocks of a
-   family is one group of rows, so that a family of any size is spread over
-   many tasks.  Inside a group an inverted index counts the k-mers that texts
-   share; pairs that can reach the threshold are verified by banded alignment.
-   No pair is dropped or capped; a pair already joined in its group is not
-   verified again, and only links that join two texts leave the task.
+2. Nodes that share a sketch are tied to the least of them, the head.  Each
+   tie is verified by banded alignment, the texts of one head in groups of
+   about BLOCK_KMERS that read the head's text and pass the others by.  This
+   is one comparison a tie, however many texts a head has.
+3. The connected components of the ties are the families inside which links
+   can exist.  A family that the verified ties do not join into one class is cut
+   into blocks of about BLOCK_KMERS, every pair of blocks a group of
+   rows, so that a family of any size is spread over many tasks.  Inside
+   a group an inverted index counts the k-mers that texts share; pairs that
+   share enough of them and are not yet in one class are verified.  No pair is
+   dropped or capped.
 4. Classes are the connected components of the links.
 
-Similarity: aligned k-mers over all k-mers of both texts, where the alignment
-is the longest chain of equal labelled k-mers in both orders, inside the band
-of diagonals that a pair of the threshold can use.  Without moved passages it
-is the Jaccard similarity of the labelled k-mers.
+Similarity: 1 - word edits / words of the longer text, at least 0.8.  The
+alignment follows the longest chain of k-mers that both texts have in one
+order, inside the band of diagonals that a pair of the threshold can use;
+between the k-mers of the chain it is the least number of edits.  Pairs that
+share fewer than SHARED of the shorter text's k-mers are no candidates.
 
 Edge cases: a null text counts as empty; empty texts are copies of each other;
 texts of fewer than five words have one k-mer, all their words; a text without
 words has equal texts only; rows that repeat an id are rows of their own, and a
 class's id is its least id (null if all its ids are null); only the id and text
-columns are read; an empty table gives an empty table.  Texts are read whole.
+columns are read, and columns of any name stay in ``keep_one``; an empty table
+gives an empty table.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -45,9 +50,13 @@ ship(__name__)
 
 WORDS = 5
 SIMILARITY = 0.8
-#: Two texts of similarity 0.8 share one of 20 sketches of 3 k-mers but for about one pair in a million.
-SKETCHES, KEPT = 20, 3
+#: With 5 % of the words changed at random places 0.77 of the k-mers stay, with 10 % 0.59: all but 0.003 % and 2 % of such
+#: pairs then share one of 20 sketches of 2.
+SKETCHES, KEPT = 20, 2
+SHARED = 0.2
 BLOCK_KMERS = 200_000
+#: Distinct texts that a task remembers to send equal ones on once.
+REMEMBERED = 200_000
 _MULTS = np.array([0xD6E8FEB86659FD93, 0xA5A3564E1C1C6D5B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0x27D4EB2F165667C5], dtype=np.uint64)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -85,36 +94,121 @@ def sketches(k: np.ndarray) -> np.ndarray:
     return mix((part * _MULTS[None, :part.shape[1]]).sum(axis=1, dtype=np.uint64) ^ _SEEDS)
 
 
-def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Similarity of two texts' k-mers by banded alignment; 0 if it cannot
-    reach ``least``."""
-    need = least / (1 + least) * (len(a) + len(b))
-    order_a, order_b = np.argsort(a), np.argsort(b)
-    _, in_a, in_b = np.intersect1d(a[order_a], b[order_b], assume_unique=True, return_indices=True)
+def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Least word edits between two runs of words; ``most`` + 1 if there are
+    more.  A band of diagonals, doubled until the edits fit into it."""
+    if len(a) > len(b):
+        a, b = b, a
+    n, m = len(a), len(b)
+    if m - n > most:
+        return most + 1
+    _, code = np.unique(np.concatenate((a, b)), return_inverse=True)
+    band = min(most, max(4, 2 * (m - n)))
+    while True:
+        # Column k of a row is the place i + k - band in b.
+        width = 2 * band + 1
+        far = n + m + 1
+        step = np.arange(width)
+        padded = np.full(m + 2 * width, -1, dtype=np.int64)
+        first, padded[band:band + m] = code[:n], code[n:]
+        row = np.where(step >= band, step - band, far)
+        row[step - band > m] = far
+        for i in range(1, n + 1):
+            at = i - band + step
+            new = row + (padded[i - 1:i - 1 + width] != first[i - 1])
+            new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+            new = np.where((at < 0) | (at > m), far, new)
+            if i <= band:
+                new[band - i] = i
+            row = np.minimum(np.minimum.accumulate(new - step) + step, far)
+        found = int(row[m - n + band])
+        if found <= band:
+            return found
+        if band >= most:
+            return most + 1
+        band = min(most, 2 * band)
+
+
+def _chain(ka: np.ndarray, kb: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the longest chain of k-mers that both texts have in one
+    order, at most ``shift`` diagonals from the first."""
+    order_a, order_b = np.argsort(ka), np.argsort(kb)
+    _, in_a, in_b = np.intersect1d(ka[order_a], kb[order_b], assume_unique=True, return_indices=True)
     at_a, at_b = order_a[in_a], order_b[in_b]
-    # A k-mer so many places apart leaves more unaligned than the threshold lets.
-    shift = at_a - at_b
-    band = (shift <= len(a) - need) & (-shift <= len(b) - need)
-    at_a, at_b = at_a[band], at_b[band]
-    if len(at_a) < need - 1e-9:
-        return 0.0
-    chain = at_b[np.argsort(at_a)]
-    size = len(chain)
-    if (np.diff(chain) < 0).any():
+    band = np.abs(at_a - at_b) <= shift
+    order = np.argsort(at_a[band])
+    at_a, at_b = at_a[band][order], at_b[band][order]
+    if (np.diff(at_b) < 0).any():
         tails: list[int] = []
-        for x in chain.tolist():
+        last: list[int] = []
+        before = np.full(len(at_b), -1)
+        for k, x in enumerate(at_b.tolist()):
             i = bisect_left(tails, x)
+            before[k] = last[i - 1] if i else -1
             tails[i:i + 1] = [x]
-        size = len(tails)
-    return size / (len(a) + len(b) - size)
-
-
-def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMILARITY) -> list[tuple[int, int]]:
+            last[i:i + 1] = [k]
+        chain, k = [], last[-1]
+        while k >= 0:
+            chain.append(k)
+            k = before[k]
+        at_a, at_b = at_a[chain[::-1]], at_b[chain[::-1]]
+    return at_a, at_b
+
+
+def aligned(a: np.ndarray, b: np.ndarray, ka: np.ndarray, kb: np.ndarray, least: float = SIMILARITY) -> float:
+    """Similarity of two texts, given by their words and k-mers, by banded
+    alignment; 0 if it is below ``least``."""
+    longer = max(len(a), len(b))
+    most = int((1 - least) * longer + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return 0.0
+    at_a, at_b = _chain(ka, kb, most)
+    if not len(at_a):
+        return 0.0
+    k = min(len(a), len(b), WORDS)
+    # Between one k-mer's end and the next one's start, the words that they share taken off the second.
+    da, db = np.diff(at_a), np.diff(at_b)
+    over = np.maximum(0, k - np.minimum(da, db))
+    from_a = np.concatenate(([0], at_a + k))
+    from_b = np.concatenate(([0], at_b + k))
+    to_a = np.concatenate((at_a[:1], at_a[1:] + over, [len(a)]))
+    to_b = np.concatenate((at_b[:1], at_b[1:] + over, [len(b)]))
+    gap_a, gap_b = to_a - from_a, to_b - from_b
+    cost = np.maximum(gap_a, gap_b)
+    total = int(cost.sum())
+    if total > most:
+        both = np.flatnonzero(np.minimum(gap_a, gap_b) > 0)
+        # No alignment of a gap does better than its common words.
+        common = {g: _common(a[from_a[g]:to_a[g]], b[from_b[g]:to_b[g]]) for g in both.tolist()}
+        best = total - sum(common.values())
+        for g in both[np.argsort(-cost[both], kind="stable")].tolist():
+            if total <= most or best > most:
+                break
+            if common[g]:
+                room = most - (best - (int(cost[g]) - common[g]))
+                found = min(edits(a[from_a[g]:to_a[g]], b[from_b[g]:to_b[g]], min(room, int(cost[g]))), int(cost[g]))
+                total += found - int(cost[g])
+                best += found - (int(cost[g]) - common[g])
+    return 1 - total / longer if total <= most else 0.0
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Words that two runs have in common, repeats counted."""
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
+
+
+def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMILARITY, known: list | None = None
+             ) -> list[tuple[int, int]]:
     """Links (i, j) that join the texts into their classes.  ``cross``: only
-    pairs of the two sides."""
+    pairs of the two sides; ``known``: a class that each text is in already."""
     flat, ends = word_hashes(texts)
-    ks = [kmers(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    words = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    ks = [kmers(w) for w in words]
     size = np.array([len(k) for k in ks], dtype=np.int64)
+    length = np.array([len(w) for w in words], dtype=np.int64)
     whose = np.repeat(np.arange(len(ks)), size)
     every = np.concatenate(ks)
     _, group, count = np.unique(every, return_inverse=True, return_counts=True)
@@ -122,6 +216,9 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
     first = np.cumsum(count) - count
     of_text = np.cumsum(size) - size
     root = list(range(len(ks)))
+    if known is not None:
+        heads: dict = {}
+        root = [heads.setdefault(c, i) for i, c in enumerate(known)]
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -140,18 +237,30 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
         to = np.cumsum(n)
         met = members[np.repeat(first[g] - (to - n), n) + np.arange(to[-1])]
         shared = np.bincount(met, minlength=len(ks))
-        fit = shared >= least / (1 + least) * (size + size[i]) - 1e-9
+        fit = (shared > 0) & (shared >= SHARED * np.minimum(size, size[i])) & (
+            np.minimum(length, length[i]) >= least * np.maximum(length, length[i]) - 1e-9)
         fit[:i + 1] = False
         if cross:
             fit &= sides != sides[i]
         near = np.flatnonzero(fit)
         for j in near[np.argsort(-shared[near], kind="stable")].tolist():
-            if top(i) != top(j) and aligned(ks[i], ks[j], least) >= least - 1e-9:
+            if top(i) != top(j) and aligned(words[i], words[j], ks[i], ks[j], least) >= least - 1e-9:
                 root[top(i)] = top(j)
                 out.append((i, j))
     return out
 
 
+def linked_to_head(head: tuple, text: str, least: float) -> bool:
+    """Whether a text is near its head's (words, k-mers)."""
+    words, _ = word_hashes([text])
+    ks = kmers(words)
+    n, m = sorted((len(words), len(head[0])))
+    if n < least * m - 1e-9 or len(np.intersect1d(ks, head[1], assume_unique=True)) < max(
+            1, SHARED * min(len(ks), len(head[1]))):
+        return False
+    return aligned(head[0], words, head[1], ks, least) >= least - 1e-9
+
+
 def sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, node, kmers, sketch) of every row; node: 16 bytes of the text."""
 
@@ -170,46 +279,98 @@ def sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         run, f"id {kind}, node binary, kmers long, sketch array<long>")
 
 
+def _one_each(df: DataFrame, text_col: str) -> DataFrame:
+    """(node, text): of equal texts in a task one, of the last REMEMBERED
+    distinct ones, so that a text with very many copies is sent once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, None] = {}
+        for b in blocks(batches, 1):
+            new = []
+            for i, node in enumerate(b.column(0).to_pylist()):
+                if node not in seen:
+                    new.append(i)
+                seen.pop(node, None)
+                seen[node] = None
+            while len(seen) > REMEMBERED:
+                del seen[next(iter(seen))]
+            yield b.take(pa.array(new, pa.int64()))
+
+    text = text_of(text_col)
+    return df.select(F.unhex(F.md5(text)).alias("node"), text.alias("text")).mapInArrow(run, "node binary, text string")
+
+
+def _verified_ties(ties: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The ties (head a, node b) whose texts are near, as links (a, b)."""
+    parts = ties.join(texts.select(F.col("node").alias("b"), "kmers"), "b").groupBy("a").agg(
+        F.ceil(F.sum("kmers") / BLOCK_KMERS).cast("int").alias("parts"))
+    heads = parts.join(texts.select(F.col("node").alias("a"), "text"), "a").select(
+        "a", F.lit(None).cast("binary").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "text")
+    placed = ties.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    members = placed.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "b", "part", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for batch in batches:
+            near = []
+            for i, (node, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())):
+                if node is None:        # a head stands before its texts
+                    flat, _ = word_hashes([text])
+                    head = flat, kmers(flat)
+                elif linked_to_head(head, text, least):
+                    near.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(near, pa.int64()))
+
+    return heads.union(members).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b")).mapInArrow(
+        run, "a binary, b binary")
+
+
 def _links(spark: SparkSession, df: DataFrame, text_col: str, nodes: DataFrame, least: float) -> DataFrame:
     """Verified links (a, b) between nodes."""
     cells = nodes.select("node", F.posexplode("sketch").alias("n", "key")).select(
         F.xxhash64("n", "key").alias("key"), "node")
     heads = cells.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    ties = cells.join(heads.select("key", "head"), "key").where("head <> node").select(
-        F.col("head").alias("a"), F.col("node").alias("b"))
-    family = written(spark, components(spark, ties, "near_ties").withColumnRenamed("root", "family"), "near_families")
-    sized = family.join(nodes.select("node", "kmers"), "node")
-    parts = sized.groupBy("family").agg(F.ceil(F.sum("kmers") / BLOCK_KMERS).cast("int").alias("parts"))
+    ties = written(spark, cells.join(heads.select("key", "head"), "key").where("head <> node").select(
+        F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "near_tied")
+    family = components(spark, ties, "near_ties").withColumnRenamed("root", "family")
+    sized = written(spark, family.join(nodes.select("node", "kmers"), "node"), "near_families")
+    texts = written(spark, _one_each(df, text_col).join(sized.select("node", "kmers"), "node").dropDuplicates(["node"]),
+                    "near_texts")
+    near = written(spark, _verified_ties(ties, texts, least), "near_direct")
+    joined = components(spark, near, "near_joined").withColumnRenamed("root", "known")
+    sized = written(spark, sized.join(joined, "node", "left").withColumn("known", F.coalesce("known", "node")), "near_known")
+    parts = sized.groupBy("family").agg(F.ceil(F.sum("kmers") / BLOCK_KMERS).cast("int").alias("parts"),
+                                        F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high")
     placed = sized.join(parts, "family").select(
-        "node", "family", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    texts = df.select(F.unhex(F.md5(text_of(text_col))).alias("node"), text_of(text_col).alias("text"))
+        "node", "family", "known", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     # Every block of a family meets every other one and, if it is alone, itself.
-    rows = texts.join(placed, "node").dropDuplicates(["node"]).select(
-        "family", "node", "text", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = texts.join(placed, "node").select(
+        "family", "node", "known", "text", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     rows = rows.select("family", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-                       "node", "part", "text")
+                       "node", "part", "text", "known")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
 
         def done():
-            pairs = links_in([t for _, _, t in group], [p for _, p, _ in group], key[1] != key[2], least)
+            pairs = links_in([g[2] for g in group], [g[1] for g in group], key[1] != key[2], least, [g[3] for g in group])
             return pa.RecordBatch.from_arrays(
                 [pa.array([group[i][0] for i, _ in pairs], pa.binary()),
                  pa.array([group[j][0] for _, j in pairs], pa.binary())], ["a", "b"])
 
         for b in batches:
-            for family, p, q, node, part, text in zip(*(c.to_pylist() for c in b.columns)):
+            for family, p, q, node, part, text, known in zip(*(c.to_pylist() for c in b.columns)):
                 if (family, p, q) != key:
                     if len(group) > 1:
                         yield done()
                     key, group = (family, p, q), []
-                group.append((node, part, text))
+                group.append((node, part, text, known))
         if len(group) > 1:
             yield done()
 
-    return rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "node").mapInArrow(
+    rest = rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "node").mapInArrow(
         run, "a binary, b binary")
+    return near.union(rest)
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -242,7 +403,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         return F.concat(F.hex(node), F.lit(":"), F.coalesce(ident.cast("string"), F.lit("")))
 
     found = classes(df, id_col, text_col, least)
-    heads = found.where("head").select(place(F.col("node"), F.col(id_col)).alias("__place")).distinct()
-    here = place(F.unhex(F.md5(text_of(text_col))), F.col(id_col))
-    return df.withColumn("__place", here).join(heads, "__place", "left_semi").dropDuplicates(["__place"]).select(
-        *(f"`{c}`" for c in df.columns))
+    heads = found.where("head").select(place(F.col("node"), F.col(id_col)).alias("place")).distinct()
+    # The row goes in a struct, whatever its columns are called.
+    rows = df.select(place(F.unhex(F.md5(text_of(text_col))), F.col(id_col)).alias("place"),
+                     F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+    return rows.join(heads, "place", "left_semi").dropDuplicates(["place"]).select("row.*")
