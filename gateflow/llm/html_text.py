@@ -2,13 +2,14 @@
 
 A page becomes a tree.  Elements that are never article text (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments of
-readers) are cut off by tag, role or leading class name (a name never cuts what holds most of
-the text, or an article, where no other article stands).  For every remaining node the
+readers) are cut off by tag, role or leading class name; none of these cuts an
+article, as in an element that was never closed, where no other article stands,
+and a form or a name cuts nothing that holds most of the text.  For every remaining node the
 composite density relates its characters to its tags, weakened by the share of
 link text; a node's density sum adds up its children's densities.  The subtree
 with the largest sum is the content, the least density on its path to the body
 being the threshold for what stands beside that path, runs of bare text included
-(headings there need none).  An article or main around the content, or articles
+(headings there, and paragraphs beside a chosen paragraph, need none).  An article or main around the content, or articles
 that make up half of it, are kept whole.
 
 Text: character references decoded, white space inside a block turned into one
@@ -18,14 +19,15 @@ Edge cases: a null or empty html, or a page without article text, gives an
 empty text; markup that is not closed, or broken off, is read as far as it
 goes; a null page id or url stays null; repeated rows give repeated results;
 only the three named columns are read; an empty table gives an empty table;
-pages of any length and depth are read whole (the tree is walked without
-recursion).
+pages of any length and depth are read whole, in time that grows with their
+length (the tree is walked without recursion, and no tag walks up twice).
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,9 +43,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section summary "
                   "table tbody td tfoot th thead tr ul".split())
+PARAGRAPHS = frozenset(("p", "pre", "blockquote"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-CUT_TAGS = frozenset("head script style noscript template nav aside footer form button select textarea iframe object "
-                     "svg canvas audio video dialog menu title".split())
+CUT_TAGS = frozenset("head script style noscript template button select textarea iframe object svg canvas audio video "
+                     "title".split())
+SOFT_TAGS = frozenset("nav aside footer dialog menu".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
 CUT_NAMES = re.compile(
     r"(?:^|\s)(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
@@ -54,6 +58,8 @@ CUT_NAMES = re.compile(
 ENDS_P = BLOCK - {"br", "body", "html", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"} | {"li", "dd", "dt"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
+_P = {"p"}
+BARRIERS = frozenset(("article", "body", "main"))
 SCOPE = frozenset("article section div main body html table td th ul ol dl blockquote aside nav header footer form".split())
 
 
@@ -61,19 +67,27 @@ class Node:
     __slots__ = ("tag", "parent", "parts", "cut", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
-        self.tag, self.parent, self.cut, self.named = tag, parent, cut, False
+        self.tag, self.parent, self.cut, self.named = tag, parent, cut, 0
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
 class Page(HTMLParser):
-    """Builds the tree; ``nodes`` holds parents before their children."""
+    """Builds the tree; ``nodes`` holds parents before their children.
+
+    What is open is counted by tag: in all (``counts``), since the innermost
+    barrier for end tags of inline elements (``barriers``) and since the
+    innermost scope for implied ends (``scopes``), so that a tag that closes
+    nothing takes no walk, and a walk closes all that it passes."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("html", None, False)
         self.nodes = [self.root]
+        self.counts: Counter = Counter()
+        self.barriers: list[Counter] = [Counter()]
+        self.scopes: list[tuple[str, Counter]] = [("html", Counter())]
         self.feed(html)
         self.close()
 
@@ -83,87 +97,109 @@ class Page(HTMLParser):
         return end + 1 if end >= 0 else len(self.rawdata)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("html", "body") and any(n.tag == "body" for n in self._path()) or tag == "html":
+        if tag == "html" or tag == "body" and self.counts["body"]:
             return
         if tag in ENDS_P:
-            self._end({"p"})
+            self._end(_P)
         if tag in ENDS:
             self._end(ENDS[tag])
-        node = Node(tag, self.open, self.open.cut or _cut(tag, dict(attrs), self.open))
-        node.named = _named(tag, dict(attrs))
+        about = dict(attrs)
+        node = Node(tag, self.open, self.open.cut or _cut(tag, about))
+        node.named = _named(tag, about, self.open)
         self.open.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID:
             self.open = node
+            self.counts[tag] += 1
+            self.barriers[-1][tag] += 1
+            self.scopes[-1][1][tag] += 1
+            if tag in BARRIERS:
+                self.barriers.append(Counter())
+            if tag in SCOPE:
+                self.scopes.append((tag, Counter()))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # A slash closes void elements only.
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        for n in self._path():
-            if n.tag == tag and n.parent is not None:
-                self.open = n.parent
-                return
-            if n.tag in ("article", "body", "main") and tag not in BLOCK:
-                return
+        # An inline element does not end across an article's, main's or the body's start.
+        if (self.counts if tag in BLOCK else self.barriers[-1])[tag]:
+            self._close({tag})
 
     def handle_data(self, data: str) -> None:
         self.open.parts.append(data)
 
-    def _path(self) -> Iterator[Node]:
-        n = self.open
-        while n is not None:
-            yield n
-            n = n.parent
+    def _close(self, tags: set) -> None:
+        """Close the nearest open element of these tags, and all inside it."""
+        while True:
+            n = self.open
+            self.open = n.parent
+            if n.tag in SCOPE:
+                self.scopes.pop()
+            if n.tag in BARRIERS:
+                self.barriers.pop()
+            self.counts[n.tag] -= 1
+            self.barriers[-1][n.tag] -= 1
+            self.scopes[-1][1][n.tag] -= 1
+            if n.tag in tags:
+                return
 
     def _end(self, tags: set) -> None:
         """Close the nearest open element of these tags in the same block."""
-        for n in self._path():
-            if n.tag in tags and n.parent is not None:
-                self.open = n.parent
-                return
-            if n.tag in SCOPE - tags:
-                return
+        scope, counts = self.scopes[-1]
+        if scope in tags or any(counts[t] for t in tags):
+            self._close(tags)
+
+
+def _cut(tag: str, attrs: dict) -> bool:
+    return tag in CUT_TAGS or attrs.get("hidden", 0) != 0 or attrs.get("aria-hidden") == "true"
 
 
-def _cut(tag: str, attrs: dict, parent: Node) -> bool:
-    if tag in CUT_TAGS or attrs.get("hidden", 0) != 0 or attrs.get("aria-hidden") == "true":
-        return True
-    if tag == "header":  # an article's own heading is text
-        return parent.tag != "article"
-    return (attrs.get("role") or "").lower() in CUT_ROLES
+#: How an element that is no article text by its tag, role or name is cut: even if it holds most of the text, or not.
+BY_TAG, BY_NAME = 1, 2
 
 
-def _named(tag: str, attrs: dict) -> bool:
-    """Whether a class or id names the element as no article text."""
-    if tag in ("article", "main", "body", "header"):
-        return False
-    return any(CUT_NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
+def _named(tag: str, attrs: dict, parent: Node) -> int:
+    """Whether tag, role, class or id say that the element is no article text."""
+    if tag in ("article", "main", "body"):
+        return 0
+    # An article's own heading is text.
+    if tag in SOFT_TAGS or tag == "header" and parent.tag != "article":
+        return BY_TAG
+    if (attrs.get("role") or "").lower() in CUT_ROLES:
+        return BY_TAG
+    if tag == "form":
+        return BY_NAME
+    return BY_NAME if tag != "header" and any(CUT_NAMES.search(attrs.get(k) or "") for k in ("class", "id")) else 0
 
 
 def _cut_named(page: Page) -> None:
-    """Cut the elements that their names give away, but none that holds most of
-    the characters or an article that stands nowhere else."""
+    """Cut the elements that tags, roles and names give away, but none that
+    holds an article that stands nowhere else, as an element that was never
+    closed does, and by its name or as a form none that holds most of the
+    characters."""
     kept = [n for n in page.nodes if not n.cut]
     chars, holds, under = ({id(n): 0 for n in kept} for _ in range(3))
     for n in kept:
-        under[id(n)] = n.parent is not None and (n.parent.named or under[id(n.parent)])
+        under[id(n)] = n.parent is not None and bool(n.parent.named or under[id(n.parent)])
     for n in reversed(kept):
         chars[id(n)] += sum(_size(p) for p in n.parts if isinstance(p, str))
         holds[id(n)] += n.tag in ("article", "main")
         if n.parent is not None:
             chars[id(n.parent)] += chars[id(n)]
             holds[id(n.parent)] += holds[id(n)]
-    free = [n for n in kept if n.tag in ("article", "main") and not under[id(n)] and chars[id(n)]]
+    free = {id(n) for n in kept if n.tag in ("article", "main") and not under[id(n)] and chars[id(n)]}
+    above = {}          # free articles around a node
     most = chars[id(page.root)]
     for n in kept:
+        above[id(n)] = 0 if n.parent is None else above[id(n.parent)] + (id(n.parent) in free)
         n.cut = n.parent is not None and n.parent.cut
-        if n.named and not n.cut and (holds[id(n)] or 2 * chars[id(n)] > most):
-            above = {id(x) for x in _above(n)}
-            n.cut = any(id(x) not in above for x in free)
-        elif n.named:
-            n.cut = True
+        if n.named and not n.cut:
+            if holds[id(n)] or n.named == BY_NAME and 2 * chars[id(n)] > most:
+                n.cut = len(free) > above[id(n)]
+            else:
+                n.cut = True
 
 
 def _size(text: str) -> int:
@@ -224,14 +260,24 @@ def content(body: Node, page: Page) -> list:
     if around is not None:
         chosen = {id(around)}
     else:
-        inner = [n for n in page.nodes if n.tag == "article" and not n.cut and n.density >= threshold
-                 and not any(x.tag == "article" for x in _above(n)) and any(x is best for x in _above(n))]
+        below, article = {id(best)}, set()          # nodes under the chosen one; nodes in an article
+        inner = []
+        for n in page.nodes:
+            if n.parent is not None:
+                if id(n.parent) in below:
+                    below.add(id(n))
+                if n.parent.tag == "article" or id(n.parent) in article:
+                    article.add(id(n))
+            if n.tag == "article" and not n.cut and n.density >= threshold and id(n) in below and id(n) not in article:
+                inner.append(n)
         if inner and 2 * sum(n.chars for n in inner) >= best.chars:
             chosen = {id(n) for n in inner}
     on_path = {id(x) for x in path}
     for n in page.nodes:
         if id(n) in chosen:
-            on_path |= {id(x) for x in _above(n)}
+            while (n := n.parent) is not None and id(n) not in on_path:
+                on_path.add(id(n))
+    inside = on_path | chosen
     linked = body.link_chars / max(body.chars, 1)
     out: list = []
     todo: list = [path[-1]]
@@ -242,22 +288,19 @@ def content(body: Node, page: Page) -> list:
         elif id(x) in chosen:
             out.append(x)
         elif id(x) in on_path:
-            todo.extend(reversed(_beside(x, on_path | chosen, threshold, linked)))
+            todo.extend(reversed(_beside(x, inside, threshold, linked)))
         else:
             out.append(x)
     return out
 
 
-def _above(n: Node) -> Iterator[Node]:
-    while (n := n.parent) is not None:
-        yield n
-
-
 def _beside(x: Node, inside: set, threshold: float, linked: float) -> list:
     """The parts of a path element to go into or keep: those of ``inside``,
     child elements and runs of bare text over the threshold, headings."""
     out: list = []
     run: list = []
+    # Paragraphs beside a chosen one go with it however short, unless they are links.
+    paragraphs = any(isinstance(c, Node) and c.tag in PARAGRAPHS and id(c) in inside for c in x.parts)
 
     def end() -> None:
         nodes = [p for p in run if isinstance(p, Node)]
@@ -282,7 +325,8 @@ def _beside(x: Node, inside: set, threshold: float, linked: float) -> list:
             run.append(c)
         else:
             end()
-            if c.chars and (c.density >= threshold or c.tag in HEADINGS):
+            if c.chars and (c.density >= threshold or c.tag in HEADINGS
+                            or paragraphs and c.tag in PARAGRAPHS and 2 * c.link_chars <= c.chars):
                 out.append(c)
     end()
     return out

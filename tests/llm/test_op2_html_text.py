@@ -80,3 +80,90 @@ def test_named_parts_are_still_cut():
     page = ("<article><p>The text of it.</p><div class='related-posts'><p>other</p></div></article>"
             "<div class='comments'><article><p>" + "A reader says much. " * 20 + "</p></article></div>")
     assert html_text.main_text(f"<body>{page}</body>") == "The text of it."
+
+
+def variants(page):
+    div = page.replace("<article>", "<div>").replace("</article>", "</div>")
+    yield from (page, div, page.replace("</nav>", ""))
+    for p in (page, div):
+        yield p.replace("<body>", "<body><form>").replace("</body>", "</form></body>")
+
+
+def test_pages_without_articles_in_forms_and_open_menus(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect() if r.html]
+    for p in pages:
+        want = brute(p)
+        assert all(html_text.main_text(v) == want for v in variants(p))
+
+
+def test_forms_and_menus_are_cut_beside_a_text():
+    text = "<div>" + "<p>Prose that goes on for a while, as text does.</p>" * 6 + "</div>"
+    page = f"<body><form><label>Your name</label><p>Fill in</p></form><aside><p>Aside</p></aside>{text}<nav>menu</nav></body>"
+    assert html_text.main_text(page) == " ".join(["Prose that goes on for a while, as text does."] * 6)
+    assert html_text.main_text("<div role=navigation><article><p>Its text.</p></article></div>") == "Its text."
+    reader = "<aside><article><p>A reader says much. </p></article></aside>"
+    assert html_text.main_text(f"<article><p>The text.</p></article>{reader}") == "The text."
+
+
+def test_short_paragraphs_beside_a_chosen_one_are_kept():
+    long = "A paragraph much longer than all others. " * 40
+    page = f"<body><div><p><b>{long}</b></p><p>Short.</p></div></body>"
+    assert html_text.main_text(page) == long + "Short."
+
+
+def brute_density(node, body_share):
+    """The composite density of a node, counted anew below it."""
+    def below(n):
+        for p in n.parts:
+            if not isinstance(p, str) and not p.cut:
+                yield p
+                yield from below(p)
+
+    def chars(n):
+        return sum(len(re.sub(r"\s", "", p)) for m in [n, *below(n)] for p in m.parts if isinstance(p, str))
+
+    inside = [node, *below(node)]
+    c, t = chars(node), len(inside) - 1
+    links = [n for n in inside if n.tag == "a"]
+    lc = sum(chars(n) for n in links if not any(n is not m and n in list(below(m)) for m in links))
+    if not c:
+        return 0.0
+    t, lt = max(t, 1), max(len(links), 1)
+    base = html_text.math.log(c / max(c - lc, 1) * lc + body_share * c + html_text.math.e)
+    return max(0.0, c / t * html_text.math.log(c / max(lc, 1) * t / lt) / max(html_text.math.log(base), 0.01))
+
+
+def test_density_sums_equal_brute_force():
+    import random
+    r = random.Random(3)
+
+    def some(depth):
+        out = ""
+        for _ in range(r.randrange(1, 5)):
+            kind = r.choice(["text", "p", "div", "a", "b", "ul"] if depth else ["text"])
+            words = "".join(r.choice(["word ", "longerword", " it "]) for _ in range(r.randrange(1, 30)))
+            out += words if kind == "text" else f"<a href=x>{words}</a>" if kind == "a" else f"<{kind}>{some(depth - 1)}</{kind}>"
+        return out
+
+    for _ in range(60):
+        page = html_text.Page(f"<body>{some(4)}</body>")
+        body = html_text.measure(page)
+        kept = [n for n in page.nodes if not n.cut]
+        share = body.link_chars / max(body.chars, 1)
+        for n in kept:
+            assert abs(n.density - brute_density(n, share)) < 1e-6
+        for n in kept:
+            assert abs(n.total - sum(c.density for c in n.parts if not isinstance(c, str) and not c.cut)) < 1e-6
+
+
+@pytest.mark.parametrize("page", ["<i><hr>" * 40_000, "<div>" * 8000 + "</span></b></section>" * 12_000, "<p><i>" * 40_000,
+                                  "<div class=menu>" * 20_000 + "x", "<article>a<div>" * 16_000, "<i><article></i>" * 16_000,
+                                  "<ul><li>" * 30_000 + "</td>" * 30_000])
+def test_time_grows_with_the_length(page):
+    import time
+    start = time.time()
+    html_text.main_text(page)
+    whole = time.time() - start
+    start = time.time()
+    html_text.main_text(page[:len(page) // 4])
+    assert whole < 1 + 8 * (time.time() - start)
