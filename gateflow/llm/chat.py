@@ -43,9 +43,9 @@ def unescaped(text: Column) -> Column:
 
 def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text", learn: str = "assistant") -> DataFrame:
-    """(conv_col, formatted, segments): the formatted conversation, and the
-    same string cut into segments with a loss flag (the loss mask: texts of
-    the role ``learn``)."""
+    """(conv_col, formatted, mask): the formatted conversation and its loss
+    mask, the places (start, end) of the texts of the role ``learn`` in it, in
+    bytes of UTF-8, the end exclusive."""
     rows = df.select(
         F.col(conv_col).alias("conv"), F.floor(F.col(turn_col) / CHUNK).alias("chunk"),
         F.struct(F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"),
@@ -59,21 +59,40 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         same = F.get("r", k - 1)["role"] == x["role"]
         return F.when(k == 0, head).when(same, f"\n{SEP}\n").otherwise(F.concat(F.lit(f"\n{END}\n"), head))
 
-    segments = F.flatten(F.transform("r", lambda x, k: F.array(
-        F.struct(before(x, k).alias("text"), F.lit(False).alias("loss")),
-        F.struct(escaped(x["text"]).alias("text"), (x["role"] == learn).alias("loss")))))
-    tail = F.array(F.struct(F.lit(f"\n{END}\n").alias("text"), F.lit(False).alias("loss")))
-    out = turns.select("conv", F.concat(segments, tail).alias("segments"))
+    # Two strings a turn: what stands before its text, and the text.
+    parts = F.flatten(F.transform("r", lambda x, k: F.array(before(x, k), escaped(x["text"]))))
+    out = turns.select("conv", "r", parts.alias("parts"))
+    out = out.withColumn("ends", running_sums(F.transform("parts", lambda p: F.octet_length(p).cast("long"))))
+    mask = F.transform("r", lambda x, k: F.when(x["role"] == learn, F.struct(
+        F.get("ends", 2 * k).alias("start"), F.get("ends", 2 * k + 1).alias("end"))))
     return out.select(F.col("conv").alias(conv_col),
-                      F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
+                      F.concat(F.array_join("parts", ""), F.lit(f"\n{END}\n")).alias("formatted"),
+                      F.array_compact(mask).alias("mask"))
+
+
+def running_sums(sizes: Column) -> Column:
+    """The sums of an array's first 1, 2, ... entries, in pieces of CHUNK:
+    an array that grows by one entry a step is copied with each."""
+    zero = F.array(F.lit(0).cast("long"))
+
+    def sums(values: Column) -> Column:
+        grown = F.aggregate(values, zero, lambda have, x: F.array_append(have, F.element_at(have, -1) + x))
+        return F.slice(grown, 2, F.size(values))
+
+    count = F.ceil(F.size(sizes) / CHUNK).cast("int")
+    places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    pieces = F.transform(places, lambda k: sums(F.slice(sizes, k * CHUNK + 1, F.lit(CHUNK))))
+    before = F.concat(zero, sums(F.transform(pieces, lambda p: F.element_at(p, -1))))
+    return F.flatten(F.transform(pieces, lambda p, k: F.transform(p, lambda x: x + F.get(before, k))))
 
 
 def read(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """(conv_col, turns array<struct<role, text>>, loss_text, formatted): the
     rows read back from the formatted string, merged ones apart again, and the
-    unescaped text under the loss mask."""
+    unescaped text that the loss mask cuts out of it."""
     marked = F.filter(F.split("formatted", r"(?<!\\)<\|im_start\|>", -1), lambda x, k: k > 0)
-    d = formatted.select(conv_col, "formatted", "segments", marked.alias("marked"))
+    d = formatted.select(conv_col, "formatted", "mask", marked.alias("marked"),
+                         F.encode("formatted", "UTF-8").alias("bytes"))
     d = d.withColumn("merged", F.transform("marked", lambda c: F.struct(
         F.substring_index(c, "\n", 1).alias("role"), c.alias("c"))))
 
@@ -83,7 +102,9 @@ def read(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
         return F.transform(F.split(body, r"\n<\|im_sep\|>\n", -1), lambda t: F.struct(
             F.url_decode(m["role"]).alias("role"), unescaped(t).alias("text")))
 
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
+    # Of bytes a part is cut out without a walk from the start, as one of a string would take.
+    loss = F.array_join(F.transform("mask", lambda m: unescaped(F.decode(F.substring(
+        F.col("bytes"), (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")), "UTF-8"))), "")
     return d.select(conv_col, F.flatten(F.transform("merged", rows)).alias("turns"), loss.alias("loss_text"), "formatted")
 
 

@@ -18,8 +18,8 @@ def test_template(spark):
     r = chat.format_turns(spark.createDataFrame(rows, TURNS)).first()
     assert r.formatted == ("<|im_start|>user\nhi\n<|im_sep|>\nmore\n<|im_end|>\n"
                            "<|im_start|>assistant\nyes \\<|im_end|> \\\n<|im_end|>\n")
-    assert "".join(s.text for s in r.segments) == r.formatted
-    assert [s.text for s in r.segments if s.loss] == ["yes \\<|im_end|> \\"]
+    raw = r.formatted.encode()
+    assert [raw[m.start:m.end].decode() for m in r.mask] == ["yes \\<|im_end|> \\"]
 
 
 def test_round_trip(spark):
@@ -44,6 +44,7 @@ def test_long_conversation_in_chunks(spark):
                                F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
     got = back(df.repartition(7))[1]
     assert [t.text for t in got.turns] == [f"t{i}" for i in range(n)]
+    assert got.loss_text == "".join(f"t{i}" for i in range(n) if i % 3)
     assert got.formatted.count(chat.START) == 2 * -(-n // 3) - (n % 3 == 1)
 
 
@@ -58,3 +59,23 @@ def test_odd_rows(spark):
     assert chat.digests(chat.read(chat.format_turns(df.limit(0)))).count() == 0
     d = {r.conv_id: r for r in chat.digests(chat.read(chat.format_turns(df))).collect()}[1]
     assert d.turns_sha256 == hashlib.sha256(b"user\nb\nassistant\nz\nuser\na\nuser\na\n").hexdigest()
+
+
+def test_running_sums(spark):
+    rows = [(i, [r % 7 for r in range(n)]) for i, n in enumerate((0, 1, 2, chat.CHUNK, chat.CHUNK + 1, 3 * chat.CHUNK + 5))]
+    df = spark.createDataFrame(rows, "i int, a array<long>").select("i", "a", chat.running_sums(F.col("a")).alias("s"))
+    for r in df.collect():
+        total, want = 0, []
+        for x in r.a:
+            total += x
+            want.append(total)
+        assert r.s == want
+
+
+def test_mask_is_what_the_reader_uses(spark):
+    """The loss text comes out of the formatted string at the mask's places."""
+    rows = [(1, 0, "user", "ä"), (1, 1, "assistant", "éa</s>"), (1, 2, "user", "b"), (1, 3, "assistant", "👍")]
+    out = chat.format_turns(spark.createDataFrame(rows, TURNS))
+    assert chat.read(out).first().loss_text == "éa</s>👍"
+    moved = out.withColumn("mask", F.transform("mask", lambda m: F.struct(m["start"].alias("start"), m["start"].alias("end"))))
+    assert chat.read(moved).first().loss_text == ""

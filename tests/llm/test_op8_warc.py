@@ -50,18 +50,37 @@ def test_files_are_seekable_bundles(spark, monkeypatch):
     rows = [(i, f"http://x/{i}", f"page {i} " * 150) for i in range(40)]
     path = scratch_path(spark, "test", "warc")
     warc.write(pages(spark, rows).coalesce(1), path)
-    files = {r.path: bytes(r.content) for r in spark.read.format("binaryFile").option(
-        "recursiveFileLookup", "true").load(path).collect()}
+    files = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in spark.read.format("binaryFile").load(f"{path}/bundles").collect()}
     assert len(files) > 3
     for data in files.values():
-        whole = b"".join(zstandard.ZstdDecompressor().decompress(data[a:a + n], size) for a, n, size in warc.frames(data))
+        inside = warc.frames(data)[:-1]
+        whole = b"".join(zstandard.ZstdDecompressor().decompress(data[a:a + n], size) for a, n, size in inside)
         with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as f:  # any reader of .zst
             assert f.read() == whole
-        assert len(warc.frames(data)) > 1
-    for r in warc.index(spark, path).collect():
-        text = warc.fetch(files[r.bundle], r.frame, r.offset, r.length)
+        assert len(inside) > 1
+    found = warc.index(spark, path).collect()
+    assert len({r.record_id for r in found}) == len(found) == 40
+    for r in found:
+        text = warc.Bundle(files[r.bundle]).fetch(r.frame, r.offset, r.length)
         assert text.startswith(b"WARC/1.1\r\n") and f"WARC-Record-ID: {r.record_id}\r\n".encode() in text
         assert text.endswith(f"page {warc.page_of(r.record_id)} ".encode() * 150 + b"\r\n\r\n")
+    wanted = [r.record_id for r in found if warc.page_of(r.record_id) in (3, 17, 39)] + ["<urn:page:3:none>"]
+    got = warc.lookup(spark, path, spark.createDataFrame([(w,) for w in wanted], "record_id string")).collect()
+    assert {r.record_id for r in got} == set(wanted[:3])
+    assert all(f"WARC-Record-ID: {r.record_id}\r\n".encode() in bytes(r.record) for r in got)
+
+
+def test_identifiers_and_urls(spark):
+    page = "<p>some payload</p>" * 20
+    rows = [(None, "u", "x"), (None, "u", "x"), (None, "v", page), (1, "a\u2028b\x85c\r\nd", page), (2, None, page),
+            (1, "again", "other")]
+    df = warc.archive(spark, pages(spark, rows).repartition(4))
+    got = df.collect()
+    assert len({r.record_id for r in got}) == len(rows)
+    assert {r.url for r in got if r.page_id == 1} == {"a\u2028b\x85cd", "again"}
+    by = {r.record_id: r for r in got}
+    second = next(r for r in got if r.page_id == 2)
+    assert second.refers_to == 1 and by[warc.record_id(1, second.payload_digest)].record_type == "response"
 
 
 def test_empty_table(spark):
