@@ -11,14 +11,15 @@ in common are candidates.
    tie is verified by banded alignment, the texts of one head in groups of
    about BLOCK_KMERS that read the head's text and pass the others by.  This
    is one comparison a tie, however many texts a head has.
-3. The connected components of the ties are the families inside which links
-   can exist.  A family that the verified ties do not join into one class is cut
-   into blocks of about BLOCK_KMERS, every pair of blocks a group of
-   rows, so that a family of any size is spread over many tasks.  Inside
-   a group an inverted index counts the k-mers that texts share; pairs that
-   share enough of them and are not yet in one class are verified.  No pair is
-   dropped or capped.
-4. Classes are the connected components of the links.
+3. The connected components of the verified ties are classes.  The texts of a
+   sketch that these do not make one class are cut into blocks of about
+   BLOCK_KMERS, every pair of blocks a group of rows, so that a sketch of any
+   size is spread over many tasks.  A pair is looked at in the first sketch that
+   its texts share.  Inside a group an inverted index counts the k-mers that
+   texts share; pairs that share enough of them, differ in few enough words by
+   their counts, and are not yet in one class are verified.  No pair is dropped
+   or capped.
+4. Classes between which a group found a link are joined.
 
 Similarity: 1 - word edits / words of the longer text, at least 0.8.  The
 alignment follows the longest chain of k-mers that both texts have in one
@@ -57,6 +58,8 @@ SHARED = 0.2
 BLOCK_KMERS = 200_000
 #: Distinct texts that a task remembers to send equal ones on once.
 REMEMBERED = 200_000
+#: Cells of a text's word counts by hash.
+CELLS = 512
 _MULTS = np.array([0xD6E8FEB86659FD93, 0xA5A3564E1C1C6D5B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0x27D4EB2F165667C5], dtype=np.uint64)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -192,6 +195,12 @@ def aligned(a: np.ndarray, b: np.ndarray, ka: np.ndarray, kb: np.ndarray, least:
     return 1 - total / longer if total <= most else 0.0
 
 
+def profile(words: np.ndarray) -> np.ndarray:
+    """Words by cell of their hash.  An edit changes two cells by one at most,
+    so texts whose profiles differ by more than two an edit are not near."""
+    return np.bincount((words >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS).astype(np.int32)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Words that two runs have in common, repeats counted."""
     x, n = np.unique(a, return_counts=True)
@@ -200,10 +209,11 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
-def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMILARITY, known: list | None = None
-             ) -> list[tuple[int, int]]:
+def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMILARITY, known: list | None = None,
+             sketch: np.ndarray | None = None, number: int = 0) -> list[tuple[int, int]]:
     """Links (i, j) that join the texts into their classes.  ``cross``: only
-    pairs of the two sides; ``known``: a class that each text is in already."""
+    pairs of the two sides; ``known``: a class that each text is in already.
+    Pairs whose sketches agree before the ``number``-th have met there."""
     flat, ends = word_hashes(texts)
     words = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
     ks = [kmers(w) for w in words]
@@ -219,6 +229,9 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
     if known is not None:
         heads: dict = {}
         root = [heads.setdefault(c, i) for i, c in enumerate(known)]
+    class_ = np.array(root)
+    profiles = np.array([profile(w) for w in words])
+    at = np.arange(len(ks))
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -229,6 +242,15 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
     sides = np.array(side)
     out = []
     for i in range(len(ks)):
+        fit = (at > i) & (class_ != class_[i]) & (
+            np.minimum(length, length[i]) >= least * np.maximum(length, length[i]) - 1e-9)
+        if cross:
+            fit &= sides != sides[i]
+        if sketch is not None and number:
+            left = np.flatnonzero(fit)
+            fit[left[(sketch[left, :number] == sketch[i, :number]).any(axis=1)]] = False
+        if not fit.any():
+            continue
         g = group[of_text[i]:of_text[i] + size[i]]
         g = g[count[g] > 1]
         if not len(g):
@@ -237,12 +259,9 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
         to = np.cumsum(n)
         met = members[np.repeat(first[g] - (to - n), n) + np.arange(to[-1])]
         shared = np.bincount(met, minlength=len(ks))
-        fit = (shared > 0) & (shared >= SHARED * np.minimum(size, size[i])) & (
-            np.minimum(length, length[i]) >= least * np.maximum(length, length[i]) - 1e-9)
-        fit[:i + 1] = False
-        if cross:
-            fit &= sides != sides[i]
-        near = np.flatnonzero(fit)
+        near = np.flatnonzero(fit & (shared > 0) & (shared >= SHARED * np.minimum(size, size[i])))
+        most = ((1 - least) * np.maximum(length[near], length[i]) + 1e-9).astype(np.int64)
+        near = near[np.abs(profiles[near] - profiles[i]).sum(axis=1) <= 2 * most]
         for j in near[np.argsort(-shared[near], kind="stable")].tolist():
             if top(i) != top(j) and aligned(words[i], words[j], ks[i], ks[j], least) >= least - 1e-9:
                 root[top(i)] = top(j)
@@ -251,11 +270,13 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
 
 
 def linked_to_head(head: tuple, text: str, least: float) -> bool:
-    """Whether a text is near its head's (words, k-mers)."""
+    """Whether a text is near its head's (words, k-mers, profile)."""
     words, _ = word_hashes([text])
     ks = kmers(words)
     n, m = sorted((len(words), len(head[0])))
-    if n < least * m - 1e-9 or len(np.intersect1d(ks, head[1], assume_unique=True)) < max(
+    if n < least * m - 1e-9 or np.abs(profile(words) - head[2]).sum() > 2 * int((1 - least) * m + 1e-9):
+        return False
+    if len(np.intersect1d(ks, head[1], assume_unique=True)) < max(
             1, SHARED * min(len(ks), len(head[1]))):
         return False
     return aligned(head[0], words, head[1], ks, least) >= least - 1e-9
@@ -316,7 +337,7 @@ def _verified_ties(ties: DataFrame, texts: DataFrame, least: float) -> DataFrame
             for i, (node, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())):
                 if node is None:        # a head stands before its texts
                     flat, _ = word_hashes([text])
-                    head = flat, kmers(flat)
+                    head = flat, kmers(flat), profile(flat)
                 elif linked_to_head(head, text, least):
                     near.append(i)
             yield batch.select(["a", "b"]).take(pa.array(near, pa.int64()))
@@ -325,52 +346,58 @@ def _verified_ties(ties: DataFrame, texts: DataFrame, least: float) -> DataFrame
         run, "a binary, b binary")
 
 
-def _links(spark: SparkSession, df: DataFrame, text_col: str, nodes: DataFrame, least: float) -> DataFrame:
-    """Verified links (a, b) between nodes."""
-    cells = nodes.select("node", F.posexplode("sketch").alias("n", "key")).select(
-        F.xxhash64("n", "key").alias("key"), "node")
-    heads = cells.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    ties = written(spark, cells.join(heads.select("key", "head"), "key").where("head <> node").select(
-        F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "near_tied")
-    family = components(spark, ties, "near_ties").withColumnRenamed("root", "family")
-    sized = written(spark, family.join(nodes.select("node", "kmers"), "node"), "near_families")
-    texts = written(spark, _one_each(df, text_col).join(sized.select("node", "kmers"), "node").dropDuplicates(["node"]),
-                    "near_texts")
+def _roots(spark: SparkSession, df: DataFrame, text_col: str, nodes: DataFrame, least: float) -> DataFrame:
+    """(node, root): the classes of the nodes that are tied to another one."""
+    cells = nodes.select("node", F.posexplode("sketch").alias("number", "key")).select(
+        F.xxhash64("number", "key").alias("key"), "number", "node")
+    heads = cells.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
+    met = written(spark, cells.join(heads.select("key", "head"), "key"), "near_met")
+    ties = written(spark, met.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(),
+                   "near_ties")
+    tied = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "kmers", "sketch")
+    texts = written(spark, _one_each(df, text_col).join(tied, "node").dropDuplicates(["node"]), "near_texts")
     near = written(spark, _verified_ties(ties, texts, least), "near_direct")
     joined = components(spark, near, "near_joined").withColumnRenamed("root", "known")
-    sized = written(spark, sized.join(joined, "node", "left").withColumn("known", F.coalesce("known", "node")), "near_known")
-    parts = sized.groupBy("family").agg(F.ceil(F.sum("kmers") / BLOCK_KMERS).cast("int").alias("parts"),
-                                        F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high")
-    placed = sized.join(parts, "family").select(
-        "node", "family", "known", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    # Every block of a family meets every other one and, if it is alone, itself.
+    known = written(spark, tied.join(joined, "node", "left").select(
+        "node", "kmers", F.coalesce("known", "node").alias("known")), "near_known")
+    # Sketches whose texts the ties have not made one class, and in which a pair without the head is left.
+    in_class = met.join(known, "node").select("key", "number", "node", "kmers", "known")
+    parts = in_class.groupBy("key").agg(
+        F.ceil(F.sum("kmers") / BLOCK_KMERS).cast("int").alias("parts"), F.count("*").alias("n"),
+        F.min("known").alias("low"), F.max("known").alias("high")).where("n > 2 and low <> high")
+    placed = in_class.join(parts, "key").select(
+        "key", "number", "node", "known", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    # Every block of a sketch meets every other one and, if it is alone, itself.
     rows = texts.join(placed, "node").select(
-        "family", "node", "known", "text", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    rows = rows.select("family", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-                       "node", "part", "text", "known")
+        "key", "number", "node", "known", "text", "sketch", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = rows.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+                       "node", "part", "text", "known", "number", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
 
         def done():
-            pairs = links_in([g[2] for g in group], [g[1] for g in group], key[1] != key[2], least, [g[3] for g in group])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([group[i][0] for i, _ in pairs], pa.binary()),
-                 pa.array([group[j][0] for _, j in pairs], pa.binary())], ["a", "b"])
+            part, text, known, sketch = zip(*group)
+            pairs = links_in(text, part, key[1] != key[2], least, known, np.array(sketch), key[3])
+            return pa.RecordBatch.from_arrays([pa.array([group[p[k]][2] for p in pairs], pa.binary()) for k in (0, 1)],
+                                              ["a", "b"])
 
         for b in batches:
-            for family, p, q, node, part, text, known in zip(*(c.to_pylist() for c in b.columns)):
-                if (family, p, q) != key:
+            for k, p, q, _, part, text, known, number, sketch in zip(*(c.to_pylist() for c in b.columns)):
+                if (k, p, q, number) != key:
                     if len(group) > 1:
                         yield done()
-                    key, group = (family, p, q), []
-                group.append((node, part, text, known))
+                    key, group = (k, p, q, number), []
+                group.append((part, text, known, sketch))
         if len(group) > 1:
             yield done()
 
-    rest = rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "node").mapInArrow(
+    rest = rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "node").mapInArrow(
         run, "a binary, b binary")
-    return near.union(rest)
+    # Links between classes that the ties have made already: few rows.
+    joined = components(spark, written(spark, rest, "near_links"), "near_classes")
+    return known.join(joined.select(F.col("node").alias("known"), "root"), "known", "left").select(
+        "node", F.coalesce("root", "known").alias("root"))
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -382,8 +409,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     nodes = written(spark, rows.groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("n"), F.first("kmers").alias("kmers"),
         F.first("sketch").alias("sketch")), "near_nodes")
-    links = written(spark, _links(spark, df, text_col, nodes, least), "near_links")
-    roots = components(spark, links, "near_classes")
+    roots = _roots(spark, df, text_col, nodes, least)
     placed = nodes.select("node", "id", "n").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(
