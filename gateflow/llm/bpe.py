@@ -4,7 +4,9 @@ Texts are cut at white space, and the pieces that a task has not met before are
 split into words, laid out as one flat array of symbols.  In every round the ranks of all neighbouring pairs are
 looked up by binary search over the sorted pair keys, each word's lowest rank
 is found by a segmented minimum, and that pair is merged at all its places in
-the word at once.  Words whose pairs have no rank leave the array.
+the word at once.  Words whose pairs have no rank leave the array.  Very long
+words take rounds of their own, one a rank, in which only the neighbours of
+merged places are looked up anew.
 
 This equals merging one pair at a time from the left as long as every merge
 ranks behind the merges that made its parts, which is checked when the file is
@@ -18,6 +20,7 @@ encoded whole.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -35,6 +38,8 @@ ship(__name__)
 
 #: Pieces between white space kept with their tokens by a task before it starts anew.
 KNOWN_PIECES = 300_000
+#: Words of more symbols are merged by ``_merge_long``.
+LONG_WORD = 200
 #: Marks a piece of plain text that spells an added token (after lower-casing).
 _APART = "\0plain "
 
@@ -59,7 +64,7 @@ class WordBPE:
     #: The file's split pattern, as its "pattern" entry gives it.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Characters that the file's library takes as white space.
-    SPACE = "\t-\r \x85\xa0  -     　"
+    SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     # Code points that are letters or digits since Unicode 17, and neither
     # in the version (16) that the file's library follows; in hexadecimal, with ranges.
     NEWER = """
@@ -152,6 +157,13 @@ class WordBPE:
         stop = np.cumsum(length) - 1
         sym[stop] = self.last[data[stop]]
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        long = length > LONG_WORD
+        if long.any():
+            out = np.repeat(long, length)
+            ids, size = self._merge_long(sym[out], length[long])
+            count[who[long]] = size
+            done.append((np.repeat(who[long], size), ids))
+            sym, who, length = sym[~out], who[~long], length[~long]
         while len(who):
             start = np.cumsum(length) - length
             rank = np.full(len(sym), self.NONE)
@@ -185,6 +197,63 @@ class WordBPE:
         word = np.concatenate([w for w, _ in done])
         return np.concatenate([x for _, x in done])[np.argsort(word, kind="stable")].astype(np.int32), count
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.NONE)
+
+    def _merge_long(self, sym: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols left of the words, and their numbers: a round takes the
+        least rank that any pair has, at all its places.  A merge's new pairs
+        rank behind it, so no rank comes up twice."""
+        n = len(sym)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        ends = np.cumsum(length)
+        after[ends - 1] = n
+        before[ends - length] = -1
+        rank = np.full(n, self.NONE)
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            """Rank the pairs that begin at these places."""
+            new = np.full(len(at), self.NONE)
+            two = after[at] < n
+            new[two] = self._ranks(sym[at[two]], sym[after[at[two]]])
+            rank[at] = new
+            order = np.argsort(new, kind="stable")
+            cut = np.flatnonzero(np.diff(new[order])) + 1
+            for part in np.split(order, cut):
+                r = int(new[part[0]]) if len(part) else int(self.NONE)
+                if r < self.NONE:
+                    if r not in places:
+                        heapq.heappush(queue, r)
+                    places.setdefault(r, []).append(at[part])
+
+        look(np.arange(n))
+        while queue:
+            r = heapq.heappop(queue)
+            at = np.unique(np.concatenate(places.pop(r)))
+            at = at[rank[at] == r]
+            # In a run of hits (x x x) only every other one, from the left, can merge.
+            fresh = np.ones(len(at), dtype=bool)
+            fresh[1:] = after[at[:-1]] != at[1:]
+            head = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - head) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            sym[at] = self.products[r]
+            sym[gone] = -1
+            rank[gone] = self.NONE
+            after[at] = after[gone]
+            more = after[at] < n
+            before[after[at[more]]] = at[more]
+            left = before[at]
+            look(np.unique(np.concatenate((at, left[left >= 0]))))
+        kept = sym >= 0
+        return sym[kept], np.add.reduceat(kept.astype(np.int64), ends - length)
+
     def learn(self) -> None:
         """Encode the pieces that were met for the first time.  Their words
         repeat a good deal ("the" in "the," and "the."), so only words that

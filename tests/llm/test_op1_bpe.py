@@ -33,6 +33,21 @@ def test_words_equal_the_library(library):
             assert decoded[k] == library.decode(e.ids, skip_special_tokens=False) == own.decode(e.ids)
 
 
+def test_long_words(library, monkeypatch):
+    own = bpe.WordBPE(PATH)
+    r = random.Random(9)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (199, 200, 201, 3000, 500_000)]
+    texts += ["a" * 70_001, "ab" * 5000, "thethe" * 3000 + " " + "é" * 4000, "the " * 50 + "x" * 300 + "!" * 5000]
+    for t in texts:
+        assert own.encode([t])[0].tolist() == library.encode(t, add_special_tokens=False).ids
+    monkeypatch.setattr(bpe, "LONG_WORD", 0)       # all words by the rounds of long ones
+    own = bpe.WordBPE(PATH)
+    mixed = ["".join(r.choice("abeht st!é1 ") for _ in range(r.randrange(90))) for _ in range(500)]
+    ids, ends, _ = own.encode(mixed)
+    for k, e in enumerate(library.encode_batch(mixed, add_special_tokens=False)):
+        assert ids[ends[k]:ends[k + 1]].tolist() == e.ids
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_PIECES", 5)
     own = bpe.WordBPE(PATH)
