@@ -16,7 +16,11 @@ The loss of a token is the negative logarithm of a fixed mixture of bigram,
 unigram and uniform (one in VOCABULARY) probabilities.  A document never vouches
 for itself: its own counts are taken from the models before it is scored.  The
 score is the mean over its tokens of target loss minus background loss: the
-lower, the more like the target.
+lower, the more like the target.  The models share vocabulary, mixture and order
+but not size: the background is the whole corpus, since a sample of it as small
+as the target would not know the corpus' rare words and would not grow with it;
+a document's rank among all is what the difference is for, and a constant part
+of it, which the sizes make, does not move ranks.
 
 Edge cases: a null text counts as empty; every text ends in one end token, so
 an empty text has one token and a defined score; a null id is never a target;
@@ -40,8 +44,8 @@ from gateflow.llm.common import blocks, mix, ship, text_of, word_hashes, written
 
 ship(__name__)
 
-#: One in VOCABULARY is the uniform probability; ``model`` folds to these sizes.
-VOCABULARY, PAIRS = 1 << 16, 1 << 20
+#: One in VOCABULARY is the uniform probability.
+VOCABULARY = 1 << 16
 #: Weights of bigram, unigram and uniform probability.
 MIXTURE = (0.5, 0.4, 0.1)
 #: Characters of a block, and tokens of the corpus for each bucket of hashes.
@@ -119,11 +123,6 @@ class Block:
         return good[self.whose]
 
 
-def target_ids(labels: DataFrame, good, id_col: str = "doc_id", rows: int | None = None) -> np.ndarray:
-    """The ids of well-labelled documents, or a sample of ``rows`` of them."""
-    return np.sort(np.array([r[0] for r in targets(labels, good, id_col, rows).collect()], dtype=np.int64))
-
-
 def targets(labels: DataFrame, good, id_col: str = "doc_id", rows: int | None = None) -> DataFrame:
     """(id): the ids of all well-labelled documents; only a sample of ``rows``
     of them if a caller asks for one."""
@@ -244,20 +243,6 @@ def counts(docs: DataFrame, target, id_col: str = "doc_id", text_col: str = "tex
     return _by_bucket(asked(cut, _buckets(cut)[0])).mapInArrow(run, "key long, n long, n_target long")
 
 
-def model(counted: DataFrame) -> np.ndarray:
-    """The counts folded to an array of two by PAIRS + VOCABULARY, to look at;
-    scores do not use it."""
-    odd = F.pmod("key", F.lit(2)) == 1
-    cell = F.when(odd, F.pmod(F.xxhash64("key"), F.lit(PAIRS))).otherwise(
-        F.pmod(F.xxhash64("key"), F.lit(VOCABULARY)) + PAIRS)
-    rows = counted.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
-    out = np.zeros((2, PAIRS + VOCABULARY), dtype=np.int64)
-    at = rows.column("cell").to_numpy()
-    out[0, at] = rows.column("n").to_numpy()
-    out[1, at] = rows.column("n_target").to_numpy()
-    return out
-
-
 def _buckets(cut: DataFrame) -> tuple[int, tuple[int, int]]:
     """The number of buckets, and the tokens of all and of target documents."""
     def add(x):
