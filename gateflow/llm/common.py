@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,33 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     This cuts lineage: a lost executor only repeats work after this point."""
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
+    for paths in _MADE:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that ``written`` made, for each open ``scratch``.
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the paths that ``written`` makes meanwhile."""
+    paths: list[str] = []
+    _MADE.append(paths)
+    try:
+        yield paths
+    finally:
+        _MADE.remove(paths)
+
+
+def delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch tables whose readers are done."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_of(column: str = "text"):
     """The text of a row; a null text counts as empty everywhere."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -11,9 +11,11 @@ The items are a stated query set: they go to the tasks in blocks of about
 BLOCK_BYTES of text, one pass over the documents each, so that neither the
 driver nor a task ever holds more items than one block.
 
-Edge cases: null and empty texts match nothing; items of fewer than LEAST_WORDS
-words say too little to be recognised and match nothing; repeated rows and
-repeated items each give their own rows; null ids stay null; only the named
+Edge cases: null and empty texts match nothing; items of fewer than
+``least_words`` words (LEAST_WORDS) say too little to be recognised and match
+nothing: with ``least_words`` 1 they match where their words stand unchanged;
+items without words match nothing; repeated rows and repeated items each give
+their own rows, and equal items are searched for once; null ids stay null; only the named
 columns are read; no items, or no documents, give an empty table.  Texts are
 searched whole.
 """
@@ -80,16 +82,19 @@ def distance(item: list[str], window: list[str]) -> tuple[int, int]:
 class Index:
     """The pieces of a block of items."""
 
-    def __init__(self, items: list[tuple], rate: float = ERROR_RATE):
+    def __init__(self, items: list[tuple], rate: float = ERROR_RATE, least_words: int = LEAST_WORDS):
+        """``items``: (item_id, text, number of equal rows)."""
         self.items = []
+        self.times: list[int] = []
         at: dict[str, list[tuple[int, int]]] = {}
-        for item_id, text in items:
+        for item_id, text, times in items:
             words = words_of(text or "")
-            if len(words) >= LEAST_WORDS:
+            if len(words) >= max(1, least_words):
                 k, cut = pieces(words, rate)
                 for first, part in cut:
                     at.setdefault(f" {' '.join(part)} ", []).append((len(self.items), first))
                 self.items.append((item_id, words, k))
+                self.times.append(times)
         self.found = ahocorasick.Automaton()
         for piece, where in at.items():
             self.found.add_word(piece, (len(piece), where))
@@ -97,8 +102,8 @@ class Index:
             self.found.make_automaton()
 
     def matches(self, text: str) -> list[tuple]:
-        """(item_id, distance, first word, end) of the best place of each item
-        in the text; the first place, of several as good."""
+        """(item_id, distance, first word, end, number of equal items) of the
+        best place of each item in the text; the first place, of several as good."""
         if not self.items:
             return []
         words = words_of(text)
@@ -124,12 +129,14 @@ class Index:
                     new = (d, a + end - back, a + end)
                     if n not in best or new < best[n]:
                         best[n] = new
-        return [(self.items[n][0], *best[n]) for n in sorted(best)]
+        return [(self.items[n][0], *best[n], self.times[n]) for n in sorted(best)]
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
-    """The items, one block of about BLOCK_BYTES after another."""
-    narrow = items.select(F.col(item_id).alias("item_id"), text_of(text).alias("text"))
+    """The distinct items (item_id, text, number of rows), one block of about
+    BLOCK_BYTES after another."""
+    narrow = items.select(F.col(item_id).alias("item_id"), text_of(text).alias("text")).groupBy("item_id", "text").agg(
+        F.count("*").alias("n"))
     size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(size) // BLOCK_BYTES))
     for k in range(n):
@@ -138,20 +145,21 @@ def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
 
 
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE,
+         least_words: int = LEAST_WORDS) -> DataFrame:
     """(id_col, item_id, distance, first_word, end_word) of every item met in
     a text within its error budget."""
     spark = docs.sparkSession
     kinds = [docs.schema[id_col].dataType, items.schema[item_id].dataType]
     item_kind = to_arrow_type(kinds[1])
-    schema = f"id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, distance int, first_word int, end_word int"
+    schema = f"id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, distance int, first_word int, end_word int, times int"
     narrow = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
 
     def one(block: list[tuple]) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, rate)
+            index = Index(shared.value, rate, least_words)
             for b in blocks(batches, 1):
                 rows = [(i, *m) for i, m in enumerate(map(index.matches, b.column(1).to_pylist())) for m in m]
                 if rows:
@@ -159,18 +167,20 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(n, pa.int64())), pa.array(item, item_kind),
                          *(pa.array(x, pa.int32()) for x in rest)],
-                        ["id", "item_id", "distance", "first_word", "end_word"])
+                        ["id", "item_id", "distance", "first_word", "end_word", "times"])
 
         return narrow.mapInArrow(run, schema)
 
     out = None
     for block in item_blocks(items, item_id, item_text):
         out = one(block) if out is None else out.union(one(block))
-    return out.withColumnRenamed("id", id_col)
+    # Equal items were searched for once; each has its row.
+    each = F.explode(F.array_repeat(F.lit(0), F.col("times")))
+    return out.select(F.col("id").alias(id_col), "item_id", "distance", "first_word", "end_word", each.alias("times")).drop("times")
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
-          item_text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
+          item_text: str = "text", rate: float = ERROR_RATE, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents in which no item was met; all columns stay."""
     spark = docs.sparkSession
     at = docs.columns.index(text_col)
@@ -179,7 +189,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: st
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, rate)
+            index = Index(shared.value, rate, least_words)
             for b in blocks(batches, at):
                 yield b.filter(pa.array([not index.matches(t or "") for t in b.column(at).to_pylist()], pa.bool_()))
 

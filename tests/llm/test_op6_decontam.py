@@ -90,3 +90,14 @@ def test_query_finds_whole_items(spark):
     lines = {d.doc_id: f" {' '.join(decontam.words_of(d.text))} " for d in docs}
     whole = {(d, b.item_id) for b in items for d, t in lines.items() if f" {' '.join(decontam.words_of(b.text))} " in t}
     assert whole and whole == {(r.doc_id, r.item_id) for r in rows if r.distance == 0}
+
+
+def test_short_and_repeated_items(spark, docs):
+    items = spark.createDataFrame([(1, "Yes."), (2, "two words"), (3, "c d e f g h")] * 3 + [(4, "...")], ITEMS)
+    df = docs(["a yes b", "two  WORDS", "words two", "c d e f g h i"])
+    assert {(r.doc_id, r.item_id) for r in decontam.find(df, items).collect()} == {(3, 3)}
+    rows = [(r.doc_id, r.item_id) for r in decontam.find(df, items, least_words=1).collect()]
+    assert sorted(rows) == [(0, 1)] * 3 + [(1, 2)] * 3 + [(3, 3)] * 3
+    assert decontam.clean(df, items, least_words=1).count() == 1
+    blocks = list(decontam.item_blocks(items, "item_id", "text"))
+    assert [sorted(x[2] for x in b) for b in blocks] == [[1, 3, 3, 3]]

@@ -1,4 +1,5 @@
 import hashlib
+import os
 
 import corpus_pipeline
 import duckdb
@@ -8,10 +9,12 @@ from llm_rows import *  # noqa: F403
 from test_op6_decontam import plain
 from test_op3_near_dup import brute_classes
 from test_op4_pii import brute as personal
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from gateflow.llm import decontam, oracle, pii
+from gateflow.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,7 +45,12 @@ def test_run_equals_brute_force(spark):
         assert [s for s in spans if s[0] in pii.BASE_KINDS] == personal(t)
         ids = library.encode(pii.masked(t, spans), add_special_tokens=False).ids
         want[i] = (ids, hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    top = f"{shared_dir(spark)}/llm"
+    before = {f"{d}/{x}" for d in os.listdir(top) for x in os.listdir(f"{top}/{d}")} if os.path.isdir(top) else set()
     got = {r.doc_id: (r.ids, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect()}
+    # Only the last stage's table is left.
+    left = {f"{d}/{x}" for d in os.listdir(top) for x in os.listdir(f"{top}/{d}")} - before
+    assert len(left) == 1 and left.pop().startswith("pipeline_tokens/")
     assert got.keys() == want.keys() and got == want
 
 
@@ -54,6 +62,9 @@ def test_stages_keep_the_columns(spark, docs):
         assert stage(spark, df.limit(0), SF).count() == 0
     one = corpus_pipeline.near_duplicates(spark, corpus_pipeline.quality_rules(spark, df, SF), SF).collect()
     assert [r.doc_id for r in one] == [1]
+    bare = df.select("doc_id", "text", *(F.lit(k).alias(c) for k, c in enumerate(["place", "row", "__place", "id", "spans"])))
+    assert corpus_pipeline.personal_data(spark, bare, SF).columns == bare.columns
+    assert corpus_pipeline.near_duplicates(spark, bare, SF).columns == bare.columns
     masked = corpus_pipeline.personal_data(spark, df.where("doc_id = 1 and text <> ''"), SF).first()
     assert masked.text.endswith("[EMAIL]") and masked.n_chars == len(masked.text)
 
@@ -61,7 +72,7 @@ def test_stages_keep_the_columns(spark, docs):
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     rel = con.sql(entry.oracle_sql()[name])
     cols = sorted(rel.columns)
@@ -72,4 +83,4 @@ def test_oracles(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in entry.LLM_QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in entry.LLM_QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
