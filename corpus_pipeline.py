@@ -1,6 +1,7 @@
 """A corpus pipeline of five operators.  Each stage works on all that the
 stage before it kept, and its result is written as Parquet in the shared folder
-and read again, so that an executor lost later repeats one stage only.
+and read again, so that an executor lost later repeats one stage only.  The
+tables that a stage read or made on its way are deleted once it is written.
 
 Every stage but the last returns the columns of ``documents``: the quality
 rules and the benchmark check drop rows, near-duplicate removal keeps the row
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gateflow.llm import bpe, decontam, near_dup, pii, quality
-from gateflow.llm.common import written
+from gateflow.llm.common import delete, scratch, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     masked = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -58,6 +61,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = written(spark, stage(spark, docs, sf_dir), f"pipeline_{name}")
+        with scratch() as made:
+            docs = written(spark, stage(spark, docs, sf_dir), f"pipeline_{name}")
+        # The last table made is the stage's result: what it was made from is done with.
+        delete(spark, [*before, *made[:-1]])
+        before = made[-1:]
     return docs
