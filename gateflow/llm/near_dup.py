@@ -15,10 +15,8 @@ in common are candidates.
    sketch that these do not make one class are cut into blocks of about
    BLOCK_KMERS, every pair of blocks a group of rows, so that a sketch of any
    size is spread over many tasks.  A pair is looked at in the first sketch that
-   its texts share.  Inside a group an inverted index counts the k-mers that
-   texts share; pairs that share enough of them, differ in few enough words by
-   their counts, and are not yet in one class are verified.  No pair is dropped
-   or capped.
+   its texts share, and verified if it differs in few enough words by their
+   counts and is not in one class yet.  No pair is dropped or capped.
 4. Classes between which a group found a link are joined.
 
 Similarity: 1 - word edits / words of the longer text, at least 0.8.  The
@@ -59,7 +57,7 @@ BLOCK_KMERS = 200_000
 #: Distinct texts that a task remembers to send equal ones on once.
 REMEMBERED = 200_000
 #: Cells of a text's word counts by hash.
-CELLS = 512
+CELLS, COARSE = 512, 64
 _MULTS = np.array([0xD6E8FEB86659FD93, 0xA5A3564E1C1C6D5B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0x27D4EB2F165667C5], dtype=np.uint64)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -209,6 +207,10 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
+def _differ(profiles: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.abs(profiles - one).sum(axis=1)
+
+
 def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMILARITY, known: list | None = None,
              sketch: np.ndarray | None = None, number: int = 0) -> list[tuple[int, int]]:
     """Links (i, j) that join the texts into their classes.  ``cross``: only
@@ -217,21 +219,14 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
     flat, ends = word_hashes(texts)
     words = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
     ks = [kmers(w) for w in words]
-    size = np.array([len(k) for k in ks], dtype=np.int64)
     length = np.array([len(w) for w in words], dtype=np.int64)
-    whose = np.repeat(np.arange(len(ks)), size)
-    every = np.concatenate(ks)
-    _, group, count = np.unique(every, return_inverse=True, return_counts=True)
-    members = whose[np.argsort(group, kind="stable")]
-    first = np.cumsum(count) - count
-    of_text = np.cumsum(size) - size
+    fine = np.array([profile(w) for w in words])
+    coarse = fine.reshape(len(words), -1, COARSE).sum(axis=1, dtype=np.int32)
     root = list(range(len(ks)))
     if known is not None:
         heads: dict = {}
         root = [heads.setdefault(c, i) for i, c in enumerate(known)]
-    class_ = np.array(root)
-    profiles = np.array([profile(w) for w in words])
-    at = np.arange(len(ks))
+    class_, sides = np.array(root), np.array(side)
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -239,36 +234,32 @@ def links_in(texts: list[str], side: list[int], cross: bool, least: float = SIMI
             i = root[i]
         return i
 
-    sides = np.array(side)
     out = []
     for i in range(len(ks)):
-        fit = (at > i) & (class_ != class_[i]) & (
-            np.minimum(length, length[i]) >= least * np.maximum(length, length[i]) - 1e-9)
+        fit = (class_[i + 1:] != class_[i]) & (
+            np.minimum(length[i + 1:], length[i]) >= least * np.maximum(length[i + 1:], length[i]) - 1e-9)
         if cross:
-            fit &= sides != sides[i]
-        if sketch is not None and number:
-            left = np.flatnonzero(fit)
-            fit[left[(sketch[left, :number] == sketch[i, :number]).any(axis=1)]] = False
-        if not fit.any():
-            continue
-        g = group[of_text[i]:of_text[i] + size[i]]
-        g = g[count[g] > 1]
-        if not len(g):
-            continue
-        n = count[g]
-        to = np.cumsum(n)
-        met = members[np.repeat(first[g] - (to - n), n) + np.arange(to[-1])]
-        shared = np.bincount(met, minlength=len(ks))
-        near = np.flatnonzero(fit & (shared > 0) & (shared >= SHARED * np.minimum(size, size[i])))
+            fit &= sides[i + 1:] != sides[i]
+        near = np.flatnonzero(fit) + i + 1
         most = ((1 - least) * np.maximum(length[near], length[i]) + 1e-9).astype(np.int64)
-        near = near[np.abs(profiles[near] - profiles[i]).sum(axis=1) <= 2 * most]
-        for j in near[np.argsort(-shared[near], kind="stable")].tolist():
-            if top(i) != top(j) and aligned(words[i], words[j], ks[i], ks[j], least) >= least - 1e-9:
+        for profiles in (coarse, fine):
+            some = _differ(profiles[near], profiles[i]) <= 2 * most
+            near, most = near[some], most[some]
+        if sketch is not None and number:
+            near = near[(sketch[near, :number] != sketch[i, :number]).all(axis=1)]
+        for j in near[np.argsort(_differ(fine[near], fine[i]), kind="stable")].tolist():
+            if top(i) != top(j) and similar(words[i], words[j], ks[i], ks[j], least):
                 root[top(i)] = top(j)
                 out.append((i, j))
     return out
 
 
+def similar(a: np.ndarray, b: np.ndarray, ka: np.ndarray, kb: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether two texts are near: k-mers enough in common, and an alignment."""
+    shared = len(np.intersect1d(ka, kb, assume_unique=True))
+    return (shared >= max(1, SHARED * min(len(ka), len(kb)))) and aligned(a, b, ka, kb, least) >= least - 1e-9
+
+
 def linked_to_head(head: tuple, text: str, least: float) -> bool:
     """Whether a text is near its head's (words, k-mers, profile)."""
     words, _ = word_hashes([text])
@@ -276,10 +267,7 @@ def linked_to_head(head: tuple, text: str, least: float) -> bool:
     n, m = sorted((len(words), len(head[0])))
     if n < least * m - 1e-9 or np.abs(profile(words) - head[2]).sum() > 2 * int((1 - least) * m + 1e-9):
         return False
-    if len(np.intersect1d(ks, head[1], assume_unique=True)) < max(
-            1, SHARED * min(len(ks), len(head[1]))):
-        return False
-    return aligned(head[0], words, head[1], ks, least) >= least - 1e-9
+    return similar(head[0], words, head[1], ks, least)
 
 
 def sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
