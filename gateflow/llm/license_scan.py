@@ -190,8 +190,9 @@ def strongest(words: list[str], found: Automaton, chained) -> list[tuple[str, in
     for s, others in out:
         for t in others:
             common = 2 * (min(s[2], t[2]) - s[1])
-            if s[0] != t[0] and s[3] != t[3]:
-                less = min(s, t, key=lambda x: x[3])
+            if s[0] != t[0] and (s[3], s[2] - s[1]) != (t[3], t[2] - t[1]):
+                # The less covered one, or of two as well covered the shorter.
+                less = min(s, t, key=lambda x: (x[3], x[2] - x[1]))
                 if common > less[2] - less[1]:
                     beaten.add(less)
     return [s for s in spans if s not in beaten]

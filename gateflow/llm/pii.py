@@ -1,7 +1,8 @@
 """Operator 4: personal data by anchor expansion.
 
 An Aho-Corasick automaton finds the anchors of a text in one pass: at-signs,
-plus signs, digits, URL schemes and identifier cues such as ``token``.  Each
+plus signs, digits, URL schemes and identifier cues such as ``token``, in
+letters of any case.  Each
 anchor has a deterministic parser that expands it to both sides and validates
 what it found; a parser never goes back behind the end of its last match.
 
@@ -62,15 +63,9 @@ def _automaton() -> ahocorasick.Automaton:
         found.add_word(d, ("number", 1))
     found.add_word("@", ("email", 1))
     found.add_word("+", ("phone", 1))
-    for s in SCHEMES:
-        for x in (s, s.upper()):
-            found.add_word(x, ("url", len(x)))
-    for s in CUES:
-        for x in (s, s.upper(), s.capitalize()):
-            found.add_word(x, ("secret", len(x)))
-    for s in NUMBER_CUES:
-        for x in (s, s.upper(), s.capitalize()):
-            found.add_word(x, ("account", len(x)))
+    for kind, words in (("url", SCHEMES), ("secret", CUES), ("account", NUMBER_CUES)):
+        for x in words:
+            found.add_word(x, (kind, len(x)))
     found.make_automaton()
     return found
 
@@ -180,11 +175,21 @@ def _account(t: str, i: int) -> tuple[str, int, int] | None:
     return None if (span := _secret(t, i)) is None else ("secret", *span)
 
 
+_SMALL = {c: c + 32 for c in range(65, 91)}
+
+
+def _folded(t: str) -> str:
+    """The text in small letters, place by place."""
+    low = t.lower()
+    # One letter (a dotted capital I) becomes two characters.
+    return low if len(low) == len(t) else t.translate(_SMALL)
+
+
 def find(t: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """The spans (kind, start, end) of a text, by kind, then start."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys((*KINDS, "chain"), 0)
-    for last, (kind, size) in anchors.iter(t):
+    for last, (kind, size) in anchors.iter(_folded(t)):
         i = last - size + 1
         if kind == "number":
             if i >= done["ip"]:

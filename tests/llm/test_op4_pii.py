@@ -86,3 +86,15 @@ def test_accounts_and_ibans():
     assert added("account 1234567") == added("accounts of 12345678") == added("account 2019-01-02") == []
     t = f"IBAN: {iban}, account number 12345678"
     assert pii.masked(t, pii.find(t, anchors)) == "IBAN: [IBAN], account number [ACCOUNT]"
+
+
+def test_cues_in_any_case():
+    found = pii._automaton()
+
+    def spans(t):
+        return [(k, t[a:b]) for k, a, b in pii.find(t, found)]
+
+    assert spans("Api_Key = abcd1234efgh5678") == [("secret", "abcd1234efgh5678")]
+    assert spans("see Http://Example.com/x now") == [("url", "Http://Example.com/x")]
+    assert spans("\u0130\u0130 pAsSwOrD: abcd1234efgh5678") == [("secret", "abcd1234efgh5678")]
+    assert spans("ACCOUNT number 12345678") == spans("aCCount number 12345678") == [("account", "12345678")]
