@@ -62,14 +62,20 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     # Two strings a turn: what stands before its text, and the text.
     parts = F.flatten(F.transform("r", lambda x, k: F.array(before(x, k), escaped(x["text"]))))
     out = turns.select("conv", "r", parts.alias("parts"))
-    out = out.withColumn("ends", running_sums(F.transform("parts", lambda p: F.octet_length(p).cast("long"))))
-    mask = F.transform("r", lambda x, k: F.when(x["role"] == learn, F.struct(
-        F.get("ends", 2 * k).alias("start"), F.get("ends", 2 * k + 1).alias("end"))))
+    sizes = F.transform("parts", lambda p: F.octet_length(p).cast("long"))
+    mask = _let(running_sums(sizes), lambda ends: F.transform("r", lambda x, k: F.when(x["role"] == learn, F.struct(
+        F.get(ends, 2 * k).alias("start"), F.get(ends, 2 * k + 1).alias("end")))))
     return out.select(F.col("conv").alias(conv_col),
                       F.concat(F.array_join("parts", ""), F.lit(f"\n{END}\n")).alias("formatted"),
                       F.array_compact(mask).alias("mask"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value made once: what stands inside a lambda is
+    else made anew for each entry."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def running_sums(sizes: Column) -> Column:
     """The sums of an array's first 1, 2, ... entries, in pieces of CHUNK:
     an array that grows by one entry a step is copied with each."""
@@ -79,11 +85,18 @@ def running_sums(sizes: Column) -> Column:
         grown = F.aggregate(values, zero, lambda have, x: F.array_append(have, F.element_at(have, -1) + x))
         return F.slice(grown, 2, F.size(values))
 
-    count = F.ceil(F.size(sizes) / CHUNK).cast("int")
-    places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    pieces = F.transform(places, lambda k: sums(F.slice(sizes, k * CHUNK + 1, F.lit(CHUNK))))
-    before = F.concat(zero, sums(F.transform(pieces, lambda p: F.element_at(p, -1))))
-    return F.flatten(F.transform(pieces, lambda p, k: F.transform(p, lambda x: x + F.get(before, k))))
+    def pieces(values: Column) -> Column:
+        count = F.ceil(F.size(values) / CHUNK).cast("int")
+        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda k: _let(F.slice(values, k * CHUNK + 1, F.lit(CHUNK)), sums))
+
+    def joined(parts: Column, before: Column) -> Column:
+        return F.flatten(F.transform(parts, lambda p, k: _let(
+            F.get(before, k), lambda have: F.transform(p, lambda x: x + have))))
+
+    return _let(_let(sizes, pieces), lambda parts: _let(
+        F.concat(zero, _let(F.transform(parts, lambda p: F.element_at(p, -1)), sums)),
+        lambda before: joined(parts, before)))
 
 
 def read(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -91,8 +104,7 @@ def read(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     rows read back from the formatted string, merged ones apart again, and the
     unescaped text that the loss mask cuts out of it."""
     marked = F.filter(F.split("formatted", r"(?<!\\)<\|im_start\|>", -1), lambda x, k: k > 0)
-    d = formatted.select(conv_col, "formatted", "mask", marked.alias("marked"),
-                         F.encode("formatted", "UTF-8").alias("bytes"))
+    d = formatted.select(conv_col, "formatted", "mask", marked.alias("marked"))
     d = d.withColumn("merged", F.transform("marked", lambda c: F.struct(
         F.substring_index(c, "\n", 1).alias("role"), c.alias("c"))))
 
@@ -103,8 +115,8 @@ def read(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
             F.url_decode(m["role"]).alias("role"), unescaped(t).alias("text")))
 
     # Of bytes a part is cut out without a walk from the start, as one of a string would take.
-    loss = F.array_join(F.transform("mask", lambda m: unescaped(F.decode(F.substring(
-        F.col("bytes"), (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")), "UTF-8"))), "")
+    loss = F.array_join(_let(F.encode("formatted", "UTF-8"), lambda raw: F.transform("mask", lambda m: unescaped(
+        F.decode(F.substring(raw, (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")), "UTF-8")))), "")
     return d.select(conv_col, F.flatten(F.transform("merged", rows)).alias("turns"), loss.alias("loss_text"), "formatted")
 
 
